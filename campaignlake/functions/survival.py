@@ -6,6 +6,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def normal_two_sided(z: float) -> float:
@@ -33,12 +34,12 @@ def chi_square_tail(x: float, dof: int) -> float:
     return min(1.0, total)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_p_value(z: pd.Series) -> pd.Series:
     return z.map(normal_two_sided, na_action="ignore").astype("float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi_square_p_value(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(v) else chi_square_tail(float(v), int(k)) for v, k in zip(x, dof)],
                      dtype="float64")
