@@ -3,6 +3,7 @@
 from campaignlake.plans import (  # noqa: F401
     evaluation_queries,
     feature_queries,
+    model_queries,
     quality_queries,
     report_queries,
     segment_queries,
