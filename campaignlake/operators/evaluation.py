@@ -35,18 +35,11 @@ def score_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("positives"))
         .withColumn("negatives", F.col("n") - F.col("positives"))
     )
-    scanned = ordered_scan(
-        counts, ["score"], by, sums=["n", "positives", "negatives"], lags=["positives", "negatives"]
-    )
-    totals = counts.groupBy(*by).agg(F.sum("n").alias("total_n"), F.sum("positives").alias("total_positives"))
-    joined = _with_totals(scanned, totals, by)
-    above = lambda c, total: (total - F.col(f"cum_{c}") + F.col(c)).alias(f"at_{c}")
-    total_negatives = F.col("total_n") - F.col("total_positives")
-    return joined.select(
-        *by, "score", "n", "positives", "negatives",
-        above("n", F.col("total_n")),
-        above("positives", F.col("total_positives")),
-        above("negatives", total_negatives),
+    sums = ["n", "positives", "negatives"]
+    scanned = ordered_scan(counts, ["score"], by, sums=sums, lags=sums[1:], totals=True)
+    return scanned.select(
+        *by, "score", *sums,
+        *[(F.col(f"total_{c}") - F.col(f"cum_{c}") + F.col(c)).alias(f"at_{c}") for c in sums],
         (F.col("cum_negatives") - F.col("negatives")).alias("below_negatives"),
         F.col("prev_positives").alias("next_positives"),
         F.col("prev_negatives").alias("next_negatives"),
@@ -55,13 +48,6 @@ def score_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _with_totals(rows: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach one row of totals per group; groups are models, folds or features, so few."""
-    if by:
-        return rows.join(F.broadcast(totals), list(by))
-    return rows.withColumn("_k", F.lit(0)).join(F.broadcast(totals.withColumn("_k", F.lit(0))), "_k").drop("_k")
-
-
 def _d(name: str) -> Column:
     return F.col(name).cast("double")
 

@@ -20,7 +20,7 @@ from campaignlake.operators.features import CATEGORICAL_FEATURES, MODEL_FEATURES
 from campaignlake.operators.quality import Rule, require_rules
 from campaignlake.operators.scan import hash_key, ordered_scan, quantiles, ranked_histogram
 from campaignlake.operators.segments import category_profile
-from campaignlake.session import materialize
+from campaignlake.session import materialize, scratch_path
 from campaignlake.sources.files import read_metadata, write_metadata
 
 METRICS = ["roc_auc", "average_precision", "balanced_accuracy", "precision", "recall", "f1"]
@@ -56,10 +56,11 @@ class FillMissing(Estimator):
         self.indicators: list[str] = []
 
     def _fit(self, dataset: DataFrame) -> SQLTransformer:
-        holes = dataset.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in self.numeric]).first()
-        self.indicators = [c for c in self.numeric if holes[c]]
-        found = quantiles(ranked_histogram(dataset, self.numeric), {"median": ("n", 0.5)})
-        medians = {r["feature"]: r["median"] for r in found.collect()}
+        rows = dataset.count()
+        found = quantiles(ranked_histogram(dataset, self.numeric), {"median": ("n", 0.5)}).collect()
+        medians = {r["feature"]: r["median"] for r in found}
+        filled = {r["feature"]: r["total_n"] for r in found}
+        self.indicators = [c for c in self.numeric if filled.get(c, 0) < rows]
         known = category_profile(dataset.select(*self.categorical), self.categorical) if self.categorical else None
         modes = {r["feature"]: r["most_common_category"] for r in known.collect()} if known is not None else {}
         parts = [f"coalesce(cast(`{c}` as double), {medians.get(c, 0.0)!r}D) AS `{c}_filled`" for c in self.numeric]
@@ -162,7 +163,7 @@ def fit_classifier(spec: ModelSpec, train: DataFrame, target: str, seed: int = S
     p = dict(spec.params)
     if spec.kind == "logistic":
         estimator = LogisticRegression(
-            regParam=1.0 / (p.get("C", 1.0) * n), elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-8,
+            regParam=1.0 / (p.get("C", 1.0) * n), elasticNetParam=0.0, standardization=False, maxIter=200,
             weightCol="class_weight",
         )
     elif spec.kind == "forest":
@@ -209,22 +210,31 @@ class Fold:
     test: DataFrame
 
 
-def prepared_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int = SEED) -> list[Fold]:
+def _in_parallel(run, tasks: Sequence, parallelism: int) -> list:
+    """Results of `run` per task; up to `parallelism` tasks submit their Spark jobs side by side."""
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        return list(pool.map(run, tasks))
+
+
+def prepared_folds(
+    df: DataFrame, key: str, target: str, k: int = 5, seed: int = SEED, parallelism: int = 1
+) -> list[Fold]:
     """Preprocess every fold once, on its own training rows, for use by all candidates.
 
     `df` holds the key, the target and the model features. Both parts are stored tables of
     (key, target, features), so fits neither repeat the preprocessing nor depend on cached blocks.
     """
     tagged = materialize(stratified_folds(df.select(key, target, *MODEL_FEATURES), key, target, k, seed), "folds")
-    folds = []
-    for number in range(k):
+
+    def prepare(number: int) -> Fold:
         train, test = tagged.where(F.col("fold") != number), tagged.where(F.col("fold") == number)
         prepared = Pipeline(stages=preprocessing_stages()).fit(train)
         ready = [
             materialize(prepared.transform(part).select(key, target, "features"), "ready") for part in (train, test)
         ]
-        folds.append(Fold(number, *ready))
-    return folds
+        return Fold(number, *ready)
+
+    return _in_parallel(prepare, range(k), parallelism)
 
 
 def fold_scores(
@@ -232,32 +242,27 @@ def fold_scores(
 ) -> tuple[DataFrame, list[tuple[str, int, float, float]]]:
     """Fit every candidate on every fold and score the fold's held-out rows.
 
-    Gives one stored table (model, fold, id, label, score) and (model, fold, fit, score) seconds.
-    With `parallelism`, that many fits are submitted to the cluster at a time.
+    Gives one stored table (model, fold, id, label, score), partitioned by model and fold, and
+    (model, fold, fit, score) seconds. With `parallelism`, that many fits run at a time.
     """
+    spark = folds[0].train.sparkSession
+    base = scratch_path(spark, "fold_scores")
 
     def run(task):
         spec, fold = task
         start = time.perf_counter()
         model = fit_classifier(spec, fold.train, target, seed)
         fitted = time.perf_counter()
-        rows = materialize(
-            score(model, fold.test).select(F.col(key).alias("id"), F.col(target).alias("label"), "score"), "scores"
+        rows = score(model, fold.test).select(
+            F.col(key).alias("id"), F.col(target).cast("int").alias("label"), "score"
         )
-        done = time.perf_counter()
-        tagged = rows.select(F.lit(spec.name).alias("model"), F.lit(fold.number + 1).alias("fold"), "id", "label", "score")
-        return tagged, (spec.name, fold.number + 1, fitted - start, done - fitted)
-
-    tasks = [(spec, fold) for spec in specs for fold in folds]
-    if parallelism > 1:
-        with ThreadPoolExecutor(parallelism) as pool:
-            results = list(pool.map(run, tasks))
-    else:
-        results = [run(task) for task in tasks]
-    scored = results[0][0]
-    for rows, _ in results[1:]:
-        scored = scored.unionByName(rows)
-    return scored, [timing for _, timing in results]
+        rows.write.parquet(f"{base}/model={spec.name}/fold={fold.number + 1}")
+        return spec.name, fold.number + 1, fitted - start, time.perf_counter() - fitted
+
+    timings = _in_parallel(run, [(spec, fold) for spec in specs for fold in folds], parallelism)
+    id_type = folds[0].train.schema[key].dataType.simpleString()
+    schema = f"id {id_type}, label int, score double, model string, fold int"
+    return spark.read.schema(schema).parquet(base), timings
 
 
 def fold_metrics(scored: DataFrame, timings: Sequence[tuple[str, int, float, float]]) -> DataFrame:
@@ -286,7 +291,7 @@ def cross_validate(
     df: DataFrame, specs: Sequence[ModelSpec], key: str, target: str, k: int = 5, seed: int = SEED, parallelism: int = 1
 ) -> tuple[DataFrame, DataFrame]:
     """(fold results, summary) of all candidates on the same folds."""
-    scored, timings = fold_scores(specs, prepared_folds(df, key, target, k, seed), key, target, seed, parallelism)
+    scored, timings = fold_scores(specs, prepared_folds(df, key, target, k, seed, parallelism), key, target, seed, parallelism)
     folds = materialize(fold_metrics(scored, timings), "fold_metrics")
     return folds, cv_summary(folds)
 
@@ -341,7 +346,7 @@ def random_search(
     """
     settings = draw_candidates(space, n, seed)
     specs = [ModelSpec(f"candidate_{i:03d}", "forest", True, s) for i, s in enumerate(settings)]
-    scored, timings = fold_scores(specs, prepared_folds(df, key, target, k, seed), key, target, seed, parallelism)
+    scored, timings = fold_scores(specs, prepared_folds(df, key, target, k, seed, parallelism), key, target, seed, parallelism)
     folds = materialize(fold_metrics(scored, timings), "fold_metrics")
     aggregates = []
     for m in METRICS:
@@ -389,7 +394,7 @@ def out_of_fold_scores(
     spec: ModelSpec, df: DataFrame, key: str, target: str, k: int = 5, seed: int = SEED, parallelism: int = 1
 ) -> DataFrame:
     """(id, label, fold, score): each row scored by the model that did not see its fold."""
-    scored, _ = fold_scores([spec], prepared_folds(df, key, target, k, seed), key, target, seed, parallelism)
+    scored, _ = fold_scores([spec], prepared_folds(df, key, target, k, seed, parallelism), key, target, seed, parallelism)
     rules = [
         Rule("score_in_0_1", F.col("score").between(0, 1) & ~F.isnan("score"), nulls_fail=True),
         Rule("one_score_per_row", F.count(F.lit(1)) == F.count_distinct("id"), kind="total"),

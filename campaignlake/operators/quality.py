@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from campaignlake.functions.bands import label_map
 from campaignlake.functions.numbers import fail_when, percent, to_number
 from campaignlake.functions.text import normalize
-from campaignlake.operators.scan import ordered_scan, quantiles, value_histogram
+from campaignlake.operators.scan import quantiles, ranked_histogram
 from campaignlake.session import materialize
 
 # The raw campaign file.
@@ -202,8 +202,7 @@ def outlier_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     One pass counts the values of all columns; quartiles and outliers both come from these counts.
     """
-    histogram = value_histogram(df, {c: to_number(F.col(c), "coerce") for c in columns})
-    ranked = materialize(ordered_scan(histogram, ["value"], ["feature"], sums=["n"]), "ranked")
+    ranked = materialize(ranked_histogram(df, {c: to_number(F.col(c), "coerce") for c in columns}), "ranked")
     quartiles = quantiles(ranked, {"q1": ("n", 0.25), "q3": ("n", 0.75)})
     iqr = F.col("q3") - F.col("q1")
     fences = quartiles.select(
@@ -214,7 +213,7 @@ def outlier_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
     grouped = ["feature", "total_n", "q1", "q3", "iqr", "lower_bound", "upper_bound"]
     counted = (
-        ranked.join(F.broadcast(fences), "feature")
+        ranked.drop("total_n").join(F.broadcast(fences), "feature")
         .groupBy(*grouped)
         .agg(F.sum(F.when(outside, F.col("n")).otherwise(F.lit(0))).alias("potential_outlier_count"))
     )

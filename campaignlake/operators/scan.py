@@ -24,11 +24,14 @@ def ordered_scan(
     by: Sequence[str] = (),
     sums: Sequence[str] = (),
     lags: Sequence[str] = (),
+    totals: bool = False,
 ) -> DataFrame:
     """Add `cum_<c>` (running sum up to and with the row) and `prev_<c>` (value one row before).
 
     Rows run ascending by `order` inside each group of `by`; (by, order) must be unique and `by`
     must hold no nulls. Running sums of integers are exact and do not depend on the partitioning.
+    With `totals`, `total_<c>` gives the sum over the whole group; the groups are then broadcast,
+    so this is for few groups (columns, classes, models).
     """
     by, order, sums, lags = list(by), list(order), list(sums), list(lags)
     ranged = materialize(
@@ -95,8 +98,14 @@ def ordered_scan(
         "left",
     )
     previous = F.coalesce(F.col("_before"), F.col("_carry_last")) if lags else None
+    added = []
+    if totals:
+        whole = ranged.groupBy(group.alias("_whole_group")).agg(*[F.sum(c).alias(f"total_{c}") for c in sums])
+        joined = joined.join(F.broadcast(whole), F.col("_row_group") == F.col("_whole_group"))
+        added = [f"total_{c}" for c in sums]
     return joined.select(
         *df.columns,
+        *added,
         *[(F.col(f"cum_{c}") + F.coalesce(F.col(f"_carry_{c}"), F.lit(0))).alias(f"cum_{c}") for c in sums],
         *[previous[c].alias(f"prev_{c}") for c in lags],
     )
@@ -134,10 +143,10 @@ def value_histogram(
 def ranked_histogram(
     df: DataFrame, values: Mapping[str, Column] | Sequence[str], target: str | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """`value_histogram` with running counts per feature in value order."""
+    """`value_histogram` with running and total counts per feature in value order."""
     histogram = value_histogram(df, values, target, by)
     weights = ["n", "positives", "negatives"] if target else ["n"]
-    return ordered_scan(histogram, ["value"], [*by, "feature"], sums=weights)
+    return ordered_scan(histogram, ["value"], [*by, "feature"], sums=weights, totals=True)
 
 
 def mid_rank(ranked: DataFrame, weight: str = "n") -> DataFrame:
@@ -152,11 +161,9 @@ def quantiles(
     """Exact interpolated quantiles from running counts; one output column per spec.
 
     `specs` maps an output name to (weight column, probability). The position is `p * (N - 1)`, and
-    values between two rows are interpolated linearly. Also gives `total_<weight>`.
+    values between two rows are interpolated linearly. `total_<weight>` is kept.
     """
     weights = sorted({weight for weight, _ in specs.values()})
-    totals = ranked.groupBy(*by).agg(*[F.sum(w).alias(f"total_{w}") for w in weights])
-    rows = ranked.join(F.broadcast(totals), list(by))
 
     def position(weight: str, probability: float) -> Column:
         return F.lit(float(probability)) * (F.col(f"total_{weight}") - 1)
@@ -170,7 +177,7 @@ def quantiles(
         spot = position(weight, probability)
         picked.append(value_at(weight, F.floor(spot)).alias(f"_low_{name}"))
         picked.append(value_at(weight, F.ceil(spot)).alias(f"_high_{name}"))
-    found = rows.groupBy(*by, *[f"total_{w}" for w in weights]).agg(*picked)
+    found = ranked.groupBy(*by, *[f"total_{w}" for w in weights]).agg(*picked)
     out = []
     for name, (weight, probability) in specs.items():
         share = position(weight, probability) - F.floor(position(weight, probability))

@@ -379,17 +379,10 @@ def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> D
     The target has two ranks, so the counts per value are enough: no row is ranked.
     """
     ranked = mid_rank(ranked_histogram(df, columns, target))
-    totals_window = ["feature"]
-    r = F.col("mid_rank")
-    totals = ranked.groupBy(*totals_window).agg(
-        F.sum("n").cast("double").alias("_n"), F.sum("positives").cast("double").alias("_p")
-    )
-    center = (F.col("_n") + 1) / 2
-    gap = r - center
-    sums = (
-        ranked.join(F.broadcast(totals), "feature")
-        .groupBy("feature", "_n", "_p")
-        .agg(F.sum(gap * gap * F.col("n")).alias("_xx"), F.sum(gap * F.col("positives")).alias("_xy"))
+    totals = [F.col("total_n").cast("double").alias("_n"), F.col("total_positives").cast("double").alias("_p")]
+    gap = F.col("mid_rank") - (F.col("total_n") + 1) / 2
+    sums = ranked.groupBy("feature", *totals).agg(
+        F.sum(gap * gap * F.col("n")).alias("_xx"), F.sum(gap * F.col("positives")).alias("_xy")
     )
     # Positives rank n/2 above negatives, which gives the target's spread in closed form.
     share = F.col("_p") / F.col("_n")
