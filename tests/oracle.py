@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 
+EXACT = bool(os.environ.get("EXACT"))
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
@@ -53,7 +56,7 @@ def compare(spark_rows: list[dict], oracle_rows: list[dict]) -> str | None:
         for c in columns:
             x, y = _number(a[c]), _number(b[c])
             if isinstance(x, float) and isinstance(y, float):
-                if x != y and not math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9):
+                if x != y and not math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9) or (EXACT and x != y):
                     return f"{c}: {x!r} instead of {y!r} in {a}"
             elif x != y:
                 return f"{c}: {x!r} instead of {y!r} in {a}"
