@@ -18,8 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from campaignlake.operators.evaluation import average_precision, probability_metrics, threshold_metrics
 from campaignlake.operators.features import CATEGORICAL_FEATURES, MODEL_FEATURES, NUMERIC_FEATURES, SEED, stratified_folds
 from campaignlake.operators.quality import Rule, require_rules
-from campaignlake.operators.scan import hash_key, ordered_scan, quantiles, ranked_histogram
-from campaignlake.operators.segments import category_profile
+from campaignlake.operators.scan import hash_key, ordered_scan, quantiles
 from campaignlake.session import materialize, scratch_path
 from campaignlake.sources.files import read_metadata, write_metadata
 
@@ -37,35 +36,74 @@ SEARCH_SPACE = {
     "max_samples": [None, 0.70, 0.85],
 }
 DEEPEST_TREE = 30  # limit of Spark's trees; stands for "no limit"
+NODE_CACHE_BYTES = 4 << 30  # keep node ids between passes only while they stay below this
 
 
 def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+@dataclass(frozen=True)
+class Fills:
+    """What filling learned from a set of rows: medians, modes, and columns that had nulls."""
+
+    medians: Mapping[str, float]
+    modes: Mapping[str, str]
+    indicators: Sequence[str]
+
+
+def learn_fills(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], parts: Mapping[object, Column]
+) -> dict[object, Fills]:
+    """Fills for several subsets of rows, each given by a predicate, from one count of values.
+
+    The training rows of all folds share their scans this way. Medians are exact and interpolated;
+    modes ignore nulls and take the smallest value on ties.
+    """
+    weights = [f"w{i}" for i in range(len(parts))]
+    flags = [condition.alias(w) for condition, w in zip(parts.values(), weights)]
+    counted = [F.count_if(w).alias(w) for w in weights]
+
+    def counts(columns: Sequence[str], dtype: str) -> DataFrame:
+        wide = df.select(*flags, *[F.col(c).cast(dtype).alias(c) for c in columns])
+        long = wide.unpivot(weights, list(columns), "feature", "value").where(F.col("value").isNotNull())
+        return long.groupBy("feature", "value").agg(*counted)
+
+    scanned = ordered_scan(counts(numeric, "double"), ["value"], ["feature"], sums=weights, totals=True)
+    medians = quantiles(scanned, {f"m_{w}": (w, 0.5) for w in weights}).collect()
+    modes = []
+    if categorical:
+        first = [F.min(F.when(F.col(w) > 0, F.struct((-F.col(w)).alias("n"), "value"))).alias(w) for w in weights]
+        modes = counts(categorical, "string").groupBy("feature").agg(*first).collect()
+    rows = df.select(*flags).agg(*counted).first()
+    return {
+        part: Fills(
+            {r["feature"]: r[f"m_{w}"] for r in medians},
+            {r["feature"]: r[w]["value"] for r in modes if r[w] is not None},
+            [c for c in numeric if sum(r[f"total_{w}"] for r in medians if r["feature"] == c) < rows[w]],
+        )
+        for part, w in zip(parts, weights)
+    }
+
+
 class FillMissing(Estimator):
-    """Learns median and mode fills; fits to a SQLTransformer, which pipelines can save.
+    """Median and mode fills; fits to a SQLTransformer, which pipelines can save.
 
     Adds `<c>_filled` per column, and `<c>_missing` (0/1) for numeric columns with nulls at fit.
-    Medians are exact and interpolated. They come from value counts, one pass for all columns.
+    Given `fills`, it uses those instead of learning from the rows it is fitted on.
     """
 
-    def __init__(self, numeric: Sequence[str], categorical: Sequence[str]):
+    def __init__(self, numeric: Sequence[str], categorical: Sequence[str], fills: Fills | None = None):
         super().__init__()
-        self.numeric, self.categorical = list(numeric), list(categorical)
-        self.indicators: list[str] = []
+        self.numeric, self.categorical, self.fills = list(numeric), list(categorical), fills
 
     def _fit(self, dataset: DataFrame) -> SQLTransformer:
-        rows = dataset.count()
-        found = quantiles(ranked_histogram(dataset, self.numeric), {"median": ("n", 0.5)}).collect()
-        medians = {r["feature"]: r["median"] for r in found}
-        filled = {r["feature"]: r["total_n"] for r in found}
-        self.indicators = [c for c in self.numeric if filled.get(c, 0) < rows]
-        known = category_profile(dataset.select(*self.categorical), self.categorical) if self.categorical else None
-        modes = {r["feature"]: r["most_common_category"] for r in known.collect()} if known is not None else {}
-        parts = [f"coalesce(cast(`{c}` as double), {medians.get(c, 0.0)!r}D) AS `{c}_filled`" for c in self.numeric]
-        parts += [f"cast(`{c}` IS NULL AS double) AS `{c}_missing`" for c in self.indicators]
-        parts += [f"coalesce(`{c}`, {_sql_text(modes[c] or '')}) AS `{c}_filled`" for c in self.categorical]
+        if self.fills is None:
+            self.fills = learn_fills(dataset, self.numeric, self.categorical, {"all": F.lit(True)})["all"]
+        f = self.fills
+        parts = [f"coalesce(cast(`{c}` as double), {(f.medians.get(c) or 0.0)!r}D) AS `{c}_filled`" for c in self.numeric]
+        parts += [f"cast(`{c}` IS NULL AS double) AS `{c}_missing`" for c in f.indicators]
+        parts += [f"coalesce(`{c}`, {_sql_text(f.modes.get(c, ''))}) AS `{c}_filled`" for c in self.categorical]
         return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
@@ -77,19 +115,21 @@ class NumericAssembler(Estimator):
         self.fill, self.out = fill, out
 
     def _fit(self, dataset: DataFrame) -> VectorAssembler:
-        columns = [f"{c}_filled" for c in self.fill.numeric] + [f"{c}_missing" for c in self.fill.indicators]
+        columns = [f"{c}_filled" for c in self.fill.numeric] + [f"{c}_missing" for c in self.fill.fills.indicators]
         return VectorAssembler(inputCols=columns, outputCol=self.out)
 
 
 def preprocessing_stages(
-    numeric: Sequence[str] = tuple(NUMERIC_FEATURES), categorical: Sequence[str] = tuple(CATEGORICAL_FEATURES)
+    numeric: Sequence[str] = tuple(NUMERIC_FEATURES),
+    categorical: Sequence[str] = tuple(CATEGORICAL_FEATURES),
+    fills: Fills | None = None,
 ) -> list:
     """Median fill, missing indicator and standardising; mode fill and one-hot.
 
     Everything is learned from the rows the pipeline is fitted on. A category not seen there gives
     an all-zero block: the indexer keeps an extra slot for it and the encoder drops that slot.
     """
-    fill = FillMissing(numeric, categorical)
+    fill = FillMissing(numeric, categorical, fills)
     indexed = [f"{c}_index" for c in categorical]
     encoded = [f"{c}_onehot" for c in categorical]
     return [
@@ -152,7 +192,8 @@ def fit_classifier(spec: ModelSpec, train: DataFrame, target: str, seed: int = S
     """Fit one candidate on a frame with `features` and the target; returns a Spark ML model.
 
     `C` becomes regParam = 1 / (C * n). A forest without depth limit gets Spark's deepest tree;
-    `min_samples_split` has no counterpart in Spark and is not used.
+    `min_samples_split` has no counterpart in Spark and is not used. Caching node ids saves walking
+    the trees again in each pass but takes 4 bytes per row and tree, so it is tied to that size.
     """
     n, weights = class_weights(train, target)
     if spec.kind == "prior":
@@ -161,6 +202,10 @@ def fit_classifier(spec: ModelSpec, train: DataFrame, target: str, seed: int = S
     weight = F.when(F.col(target) == 1, F.lit(weights[1])).otherwise(F.lit(weights[0])) if spec.balanced else F.lit(1.0)
     rows = train.select("features", F.col(target).cast("double").alias("label"), weight.alias("class_weight"))
     p = dict(spec.params)
+    # Fitting is computation on rows read many times: a small table must not sit in a few partitions.
+    slots = train.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < slots:
+        rows = rows.repartition(slots)
     if spec.kind == "logistic":
         estimator = LogisticRegression(
             regParam=1.0 / (p.get("C", 1.0) * n), elasticNetParam=0.0, standardization=False, maxIter=200,
@@ -168,15 +213,17 @@ def fit_classifier(spec: ModelSpec, train: DataFrame, target: str, seed: int = S
         )
     elif spec.kind == "forest":
         strategy = p.get("max_features", "sqrt")
+        trees = p.get("n_estimators", 100)
         estimator = RandomForestClassifier(
-            numTrees=p.get("n_estimators", 100),
+            numTrees=trees,
             maxDepth=DEEPEST_TREE if p.get("max_depth") is None else p["max_depth"],
             minInstancesPerNode=p.get("min_samples_leaf", 1),
             featureSubsetStrategy=strategy if isinstance(strategy, str) else str(strategy),
             subsamplingRate=p.get("max_samples") or 1.0,
             weightCol="class_weight",
             seed=seed,
-            maxMemoryInMB=1024,
+            maxMemoryInMB=512,
+            cacheNodeIds=4 * n * trees <= NODE_CACHE_BYTES,
         )
     else:
         raise ValueError(f"unknown model kind {spec.kind!r}")
@@ -225,10 +272,12 @@ def prepared_folds(
     (key, target, features), so fits neither repeat the preprocessing nor depend on cached blocks.
     """
     tagged = materialize(stratified_folds(df.select(key, target, *MODEL_FEATURES), key, target, k, seed), "folds")
+    training = {number: F.col("fold") != number for number in range(k)}
+    fills = learn_fills(tagged, NUMERIC_FEATURES, CATEGORICAL_FEATURES, training)
 
     def prepare(number: int) -> Fold:
-        train, test = tagged.where(F.col("fold") != number), tagged.where(F.col("fold") == number)
-        prepared = Pipeline(stages=preprocessing_stages()).fit(train)
+        train, test = tagged.where(training[number]), tagged.where(F.col("fold") == number)
+        prepared = Pipeline(stages=preprocessing_stages(fills=fills[number])).fit(train)
         ready = [
             materialize(prepared.transform(part).select(key, target, "features"), "ready") for part in (train, test)
         ]

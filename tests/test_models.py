@@ -1,3 +1,5 @@
+import statistics
+
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -45,6 +47,19 @@ def test_preprocessing_learns_on_training_rows_only(spark, planted):
     assert abs(scaled[0]) < 1e-9 and scaled[1] == pytest.approx(1.0)
 
 
+def test_fills_of_all_folds_from_one_count(spark):
+    rows = [(i, i % 3, float(i * i % 17) if i % 5 else None, "ab"[i % 2] if i % 7 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, fold int, v double, c string")
+    parts = {f_: F.col("fold") != f_ for f_ in range(3)}
+    for number, fills in m.learn_fills(df, ["v", "id"], ["c"], parts).items():
+        kept = [r for r in rows if r[1] != number]
+        values = [r[2] for r in kept if r[2] is not None]
+        letters = [r[3] for r in kept if r[3] is not None]
+        assert fills.medians["v"] == statistics.median(values)
+        assert fills.modes["c"] == min(set(letters), key=lambda x: (-letters.count(x), x))
+        assert list(fills.indicators) == ["v"]
+
+
 def test_candidates_beat_the_prior_on_planted_signal(spark, planted):
     specs = m.candidate_models(FOREST)
     folds, summary = m.cross_validate(planted, specs, "id", "subscribed", k=3, parallelism=4)
