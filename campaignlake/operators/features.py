@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from campaignlake.functions.bands import negative_flag, sentinel_flag, sentinel_value
 from campaignlake.functions.numbers import percent
 from campaignlake.operators.quality import Rule, check_counts, require_rules
-from campaignlake.operators.scan import at_or_before, hash_cuts
+from campaignlake.operators.scan import at_or_before, hash_cuts, hash_key
 
 # Feature lists of the pre-campaign model.
 CURRENT_CAMPAIGN = ["contact", "day", "month", "duration", "campaign"]
@@ -128,8 +128,9 @@ def stratified_split(
     cuts = hash_cuts(df, key, target, {c: [k] for c, k in sizes.items() if k > 0}, seed)
     test = F.lit(False)
     for (group, _), cut in cuts.items():
-        test = test | ((F.col(target) == F.lit(group)) & at_or_before(key, seed, cut))
-    return df.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train")))
+        test = test | ((F.col(target) == F.lit(group)) & at_or_before(F.col("_key"), key, cut))
+    keyed = df.withColumn("_key", hash_key(F.col(key), seed))
+    return keyed.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_key")
 
 
 def stratified_folds(
@@ -152,10 +153,10 @@ def stratified_folds(
     for c, ends in ranks.items():
         fold = F.lit(0)
         for end in ends:
-            past = F.lit(True) if end == 0 else ~at_or_before(key, seed, cuts[(c, end)])
+            past = F.lit(True) if end == 0 else ~at_or_before(F.col("_key"), key, cuts[(c, end)])
             fold = fold + past.cast("int")
         number = F.when(F.col(target) == F.lit(c), fold).otherwise(number)
-    return df.withColumn(out, number)
+    return df.withColumn("_key", hash_key(F.col(key), seed)).withColumn(out, number).drop("_key")
 
 
 def split_summary(df: DataFrame, split: str, target: str) -> DataFrame:

@@ -69,7 +69,7 @@ def learn_fills(
         long = wide.unpivot(weights, list(columns), "feature", "value").where(F.col("value").isNotNull())
         return long.groupBy("feature", "value").agg(*counted)
 
-    scanned = ordered_scan(counts(numeric, "double"), ["value"], ["feature"], sums=weights, totals=True)
+    scanned = ordered_scan(counts(numeric, "double"), ["value"], ["feature"], sums=weights, totals=True, few_groups=True)
     medians = quantiles(scanned, {f"m_{w}": (w, 0.5) for w in weights}).collect()
     modes = []
     if categorical:

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from campaignlake.session import materialize
+from campaignlake.session import broadcast_checked, materialize
 
 _PART = "_part"
 
@@ -25,13 +25,14 @@ def ordered_scan(
     sums: Sequence[str] = (),
     lags: Sequence[str] = (),
     totals: bool = False,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Add `cum_<c>` (running sum up to and with the row) and `prev_<c>` (value one row before).
 
     Rows run ascending by `order` inside each group of `by`; (by, order) must be unique and `by`
     must hold no nulls. Running sums of integers are exact and do not depend on the partitioning.
-    With `totals`, `total_<c>` gives the sum over the whole group; the groups are then broadcast,
-    so this is for few groups (columns, classes, models).
+    With `totals`, `total_<c>` gives the sum over the whole group. The group totals are broadcast
+    when they are few, which is checked by a count unless `few_groups` says it is known.
     """
     by, order, sums, lags = list(by), list(order), list(sums), list(lags)
     ranged = materialize(
@@ -101,7 +102,9 @@ def ordered_scan(
     added = []
     if totals:
         whole = ranged.groupBy(group.alias("_whole_group")).agg(*[F.sum(c).alias(f"total_{c}") for c in sums])
-        joined = joined.join(F.broadcast(whole), F.col("_row_group") == F.col("_whole_group"))
+        known = few_groups or not by
+        small = F.broadcast(whole) if known else broadcast_checked(whole)
+        joined = joined.join(small, F.col("_row_group") == F.col("_whole_group"))
         added = [f"total_{c}" for c in sums]
     return joined.select(
         *df.columns,
@@ -146,7 +149,7 @@ def ranked_histogram(
     """`value_histogram` with running and total counts per feature in value order."""
     histogram = value_histogram(df, values, target, by)
     weights = ["n", "positives", "negatives"] if target else ["n"]
-    return ordered_scan(histogram, ["value"], [*by, "feature"], sums=weights, totals=True)
+    return ordered_scan(histogram, ["value"], [*by, "feature"], sums=weights, totals=True, few_groups=not by)
 
 
 def mid_rank(ranked: DataFrame, weight: str = "n") -> DataFrame:
@@ -270,8 +273,7 @@ def _any_prefix(state: Mapping, shift: int) -> Column:
     return condition
 
 
-def at_or_before(id_col: str, seed: int, cut: tuple[int, object]) -> Column:
-    """True for rows up to and with the cut row of the seeded order."""
-    key, last_id = cut
-    here = hash_key(F.col(id_col), seed)
-    return (here < F.lit(key)) | ((here == F.lit(key)) & (F.col(id_col) <= F.lit(last_id)))
+def at_or_before(key: Column, id_col: str, cut: tuple[int, object]) -> Column:
+    """True for rows up to and with the cut row of the seeded order; `key` holds their hash key."""
+    last_key, last_id = cut
+    return (key < F.lit(last_key)) | ((key == F.lit(last_key)) & (F.col(id_col) <= F.lit(last_id)))

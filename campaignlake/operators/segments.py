@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from campaignlake.functions.bands import category_position, label_map
 from campaignlake.functions.numbers import fail_when, percent, ratio
 from campaignlake.operators.scan import ordered_scan, quantiles, ranked_histogram, value_histogram
-from campaignlake.session import materialize
+from campaignlake.session import broadcast_checked, materialize
 
 
 def overview(df: DataFrame, target: str) -> DataFrame:
@@ -23,11 +23,6 @@ def overview(df: DataFrame, target: str) -> DataFrame:
     )
 
 
-def _whole_table(column: str) -> Column:
-    """Sum of a report column over all its rows; reports are one row per segment."""
-    return F.sum(column).over(Window.partitionBy(F.lit(0)))
-
-
 def segment_rates(
     df: DataFrame,
     by: str | Column,
@@ -87,7 +82,7 @@ def value_by_target_with_median(df: DataFrame, column: str, target: str, labels:
         F.min("value").alias("minimum_value"),
         F.max("value").alias("maximum_value"),
     )
-    joined = moments.join(F.broadcast(medians.select(target, "median_value")), target)
+    joined = moments.join(broadcast_checked(medians.select(target, "median_value")), target)
     return joined.withColumn("label", label_map(F.col(target), labels))
 
 
@@ -302,7 +297,7 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        ranked.join(F.broadcast(box), keys)
+        ranked.join(broadcast_checked(box), keys)
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("lower_whisker"),
@@ -314,16 +309,21 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
 def rank_segments(rates: DataFrame, segment: str) -> DataFrame:
     """Dense rank of segments by rate and each one's share of all positives.
 
-    `rates` has one row per segment; the table behind it never meets this window.
+    Rates have two decimals, so at most 10,001 different ones are ranked, however many segments
+    there are.
     """
-    everything = Window.partitionBy(F.lit(0))
-    return rates.select(
+    places = rates.select("subscription_rate").distinct().withColumn(
+        "subscription_rate_rank",
+        F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("subscription_rate"))),
+    )
+    positives = rates.agg(F.sum("subscriber_count")).scalar()
+    return rates.join(F.broadcast(places), "subscription_rate").select(
         segment,
         "client_count",
         "subscriber_count",
         "subscription_rate",
-        F.dense_rank().over(everything.orderBy(F.desc("subscription_rate"))).alias("subscription_rate_rank"),
-        percent(F.col("subscriber_count"), _whole_table("subscriber_count"), 2).alias("share_of_all_subscribers"),
+        "subscription_rate_rank",
+        percent(F.col("subscriber_count"), positives, 2).alias("share_of_all_subscribers"),
     )
 
 

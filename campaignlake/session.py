@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# Rows a table may have to be broadcast; report tables stay far below.
+BROADCAST_ROWS = 1_000_000
 
 
 def build_session(app_name: str = "campaignlake", master: str | None = None, **conf) -> SparkSession:
@@ -53,3 +56,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` with a broadcast hint if it has at most `limit` rows, else without one."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
