@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+# Workers get these functions by value, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def normal_two_sided(z: float) -> float:
     """Two-sided tail of the standard normal, at most 1."""
