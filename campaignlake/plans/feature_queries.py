@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from campaignlake.operators import features as f
-from campaignlake.operators.quality import rule_violations
-from campaignlake.operators.segments import size_by
+from campaignlake.operators.quality import rule_violations, schema_profile
 from campaignlake.plans.registry import oracle, register
 from campaignlake.session import materialize
 from campaignlake.sources.campaign import KEY, TARGET, short_campaign
@@ -111,19 +110,27 @@ def _stratified_folds(spark, sf_dir):
     return f.stratified_folds(short_campaign(spark, sf_dir), KEY, TARGET).select(KEY, TARGET, "fold")
 
 
+_EXCLUDED = {**{c: "excluded" for c in f.CURRENT_CAMPAIGN}, "pdays": "transformed"}
+
+
 @register(
     "feature_contract",
     oracle(
-        """SELECT 'included' AS primary_model_status, 'source' AS source_or_derived, CAST(10 AS BIGINT) AS size
-        UNION ALL SELECT 'excluded', 'source', 5 UNION ALL SELECT 'transformed', 'source', 1 UNION ALL SELECT 'included', 'derived', 3"""
+        " UNION ALL ".join(
+            [f"""SELECT '{c}' AS feature, 'included' AS primary_model_status, count("{c}") AS non_null_count,
+                 count(DISTINCT "{c}") + CAST(bool_or("{c}" IS NULL) AS BIGINT) AS distinct_count FROM features"""
+             for c in f.MODEL_FEATURES]
+            + [f"SELECT '{c}', '{status}', NULL, NULL" for c, status in _EXCLUDED.items()]
+        ),
+        _FEATURES,
     ),
 )
 def _feature_contract(spark, sf_dir):
-    """Status counts of the documented features; every source feature exists in the table."""
-    contract = f.feature_contract(spark)
-    sources = set(short_campaign(spark, sf_dir).columns)
-    known = contract.where((F.col("source_or_derived") == "derived") | F.col("feature").isin(sorted(sources)))
-    return size_by(known, ["primary_model_status", "source_or_derived"])
+    """Documented features beside what the engineered table holds of them."""
+    profile = schema_profile(f.engineer_features(short_campaign(spark, sf_dir)))
+    return f.feature_contract(spark).join(profile, F.col("feature") == F.col("column"), "left").select(
+        "feature", "primary_model_status", "non_null_count", "distinct_count"
+    )
 
 
 @register("features_with_target", oracle("SELECT campaign_record_id, subscribed, age, balance, negative_balance FROM features", _FEATURES))

@@ -1,6 +1,6 @@
 """Registered queries: model training, tuning, scoring and importance on the campaign table.
 
-Model results have no SQL form. The forests here are small so that a check finishes in reasonable
+Fitted models have no SQL form; fills, the prior and the shuffles do. The forests here are small so that a check finishes in reasonable
 time; the functions default to the full settings.
 """
 
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from campaignlake.operators import evaluation as e
 from campaignlake.operators import features as f
 from campaignlake.operators import models as m
-from campaignlake.plans.feature_queries import split_campaign
-from campaignlake.plans.registry import register
+from campaignlake.plans.feature_queries import _FLAGS, _ORDERED, split_campaign
+from campaignlake.plans.registry import oracle, register
 from campaignlake.session import materialize, scratch_path
 from campaignlake.sources.campaign import KEY, TARGET
 
@@ -59,6 +59,87 @@ def test_scores(spark, sf_dir):
     return scored.select(F.col(KEY).alias("id"), F.col(TARGET).alias("label"), "score")
 
 
+_TRAIN = f"""train AS (
+  SELECT campaign_record_id, subscribed, age, balance, previous, job, marital, education, "default", housing, loan, poutcome, {_FLAGS}
+  FROM divided WHERE split = 'train'
+)"""
+
+
+@register(
+    "median_fills",
+    oracle(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS feature, median(CAST({c} AS DOUBLE)) AS fill, bool_or({c} IS NULL) AS has_indicator FROM train"""
+            for c in f.NUMERIC_FEATURES
+        ),
+        _ORDERED, _TRAIN,
+    ),
+)
+def _median_fills(spark, sf_dir):
+    """Medians learned from the training rows, and which columns get a missing indicator."""
+    train, _ = parts(spark, sf_dir)
+    fills = m.learn_fills(train, f.NUMERIC_FEATURES, [], {"train": F.lit(True)})["train"]
+    rows = [(c, float(fills.medians[c]), c in fills.indicators) for c in f.NUMERIC_FEATURES]
+    return spark.createDataFrame(rows, "feature string, fill double, has_indicator boolean")
+
+
+@register(
+    "mode_fills",
+    oracle(
+        " UNION ALL ".join(
+            f"""(SELECT '{c}' AS feature, "{c}" AS fill FROM train GROUP BY 2 ORDER BY count(*) DESC, 2 LIMIT 1)"""
+            for c in f.CATEGORICAL_FEATURES
+        ),
+        _ORDERED, _TRAIN,
+    ),
+)
+def _mode_fills(spark, sf_dir):
+    """Most frequent categories of the training rows."""
+    train, _ = parts(spark, sf_dir)
+    fills = m.learn_fills(train, f.NUMERIC_FEATURES, f.CATEGORICAL_FEATURES, {"train": F.lit(True)})["train"]
+    return spark.createDataFrame(sorted(fills.modes.items()), "feature string, fill string")
+
+
+@register(
+    "prior_scores",
+    oracle(
+        """SELECT campaign_record_id AS id, subscribed AS label,
+                  round((SELECT avg(subscribed) FROM divided WHERE split = 'train'), 8) AS score
+        FROM divided WHERE split = 'test'""",
+        _ORDERED,
+    ),
+)
+def _prior_scores(spark, sf_dir):
+    """Test rows scored with the positive rate of the training rows."""
+    train, test = parts(spark, sf_dir)
+    prior = m.fit_classifier(m.ModelSpec("dummy_prior", "prior"), train.withColumn("features", F.lit(0)), TARGET)
+    scored = m.score(prior, test)
+    return scored.select(F.col(KEY).alias("id"), F.col(TARGET).alias("label"), F.round("score", 8).alias("score"))
+
+
+_ORDERS = "orders_by_hash AS (" + " UNION ALL ".join(
+    f"""SELECT {r} AS repeat, campaign_record_id, age, balance, row_number() OVER (
+          ORDER BY CAST('0x' || substr(md5(campaign_record_id || ':{42 + r}'), 1, 15) AS BIGINT), campaign_record_id) AS place
+        FROM divided WHERE split = 'test'"""
+    for r in range(3)
+) + ")"
+
+
+@register(
+    "shuffled_donors",
+    oracle(
+        """SELECT b.campaign_record_id, b.age, d.repeat, d.age AS donor_age, d.balance AS donor_balance
+        FROM orders_by_hash b JOIN orders_by_hash d ON b.place = d.place AND b.repeat = 0 AND d.repeat > 0""",
+        _ORDERED, _ORDERS,
+    ),
+)
+def _shuffled_donors(spark, sf_dir):
+    """Two random permutations of the test rows, as used for permutation importance."""
+    _, test = parts(spark, sf_dir)
+    pairs = m.shuffled_donors(test.select(KEY, "age", "balance"), KEY, ["age", "balance"], 2)
+    return pairs.select(KEY, "age", "repeat", F.col("donor.age").alias("donor_age"), F.col("donor.balance").alias("donor_balance"))
+
+
 @register("preprocessed_features")
 def _preprocessed_features(spark, sf_dir):
     """Test rows through preprocessing learned from the training rows."""

@@ -35,9 +35,28 @@ def _rows(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-@register("schema_differences", oracle("SELECT 'y' AS \"column\", 'missing' AS problem UNION ALL SELECT 'subscribed', 'unexpected' UNION ALL SELECT 'campaign_record_id', 'unexpected'"))
+def _with_cells(changes, *tables):
+    """Column changes with the number of filled cells each column has in the tables holding it."""
+    cells = None
+    for rows, columns in tables:
+        part = q.schema_profile(rows.select(*columns)).select("column", "non_null_count")
+        cells = part if cells is None else cells.unionByName(part)
+    return changes.join(cells, "column", "left")
+
+
+@register(
+    "schema_differences",
+    oracle(
+        """SELECT 'y' AS "column", 'missing' AS problem, NULL::BIGINT AS non_null_count
+        UNION ALL SELECT 'subscribed', 'unexpected', count(subscribed) FROM short
+        UNION ALL SELECT 'campaign_record_id', 'unexpected', count(campaign_record_id) FROM short"""
+    ),
+)
 def _schema_differences(spark, sf_dir):
-    return q.schema_differences(spark, short_campaign(spark, sf_dir).columns, q.RAW_COLUMNS)
+    """The stored table against the raw schema, with the filled cells of what is not expected."""
+    rows = short_campaign(spark, sf_dir)
+    extra = [c for c in rows.columns if c not in q.RAW_COLUMNS]
+    return _with_cells(q.schema_differences(spark, rows.columns, q.RAW_COLUMNS), (rows, extra))
 
 
 _DOMAINS = {"job": ["automobile", "building", "furniture"], "y": ["yes", "no"], "poutcome": ["success", "failure", "other", "unknown", "none"]}
@@ -228,10 +247,16 @@ def _schema_profile(spark, sf_dir):
 
 @register(
     "column_diff",
-    oracle("SELECT 'y' AS \"column\", 'removed' AS change UNION ALL SELECT 'campaign_record_id', 'added' UNION ALL SELECT 'subscribed', 'added'"),
+    oracle(
+        """SELECT 'y' AS "column", 'removed' AS change, count(y) AS non_null_count FROM raw
+        UNION ALL SELECT 'campaign_record_id', 'added', count(campaign_record_id) FROM short
+        UNION ALL SELECT 'subscribed', 'added', count(subscribed) FROM short"""
+    ),
 )
 def _column_diff(spark, sf_dir):
-    return q.column_diff(raw_campaign(spark, sf_dir), short_campaign(spark, sf_dir))
+    """Columns removed and added by cleaning, with their filled cells."""
+    raw, rows = raw_campaign(spark, sf_dir), short_campaign(spark, sf_dir)
+    return _with_cells(q.column_diff(raw, rows), (raw, ["y"]), (rows, [KEY, TARGET]))
 
 
 @register("reconcile_reports", oracle("SELECT '' AS job, '' AS \"column\", '' AS left_value, '' AS right_value WHERE false"))
