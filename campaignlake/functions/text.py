@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed value: Unicode white space plus the four ASCII separator controls.
-_BLANK = r"[\s\x1c-\x1f]+"
+# Every white-space character, the same set `str.strip` removes.
+_BLANK = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
 def strip(column: Column) -> Column:
-    """Remove white space of any kind at both ends (`trim` would drop spaces only)."""
-    text = F.regexp_replace(column.cast("string"), rf"(?U)^{_BLANK}", "")
-    return F.regexp_replace(text, rf"(?U){_BLANK}$", "")
+    """Remove white space of any kind at both ends (plain `trim` would drop spaces only)."""
+    return F.btrim(column.cast("string"), F.lit(_BLANK))
 
 
 def normalize(column: Column) -> Column:

@@ -140,12 +140,38 @@ def _shuffled_donors(spark, sf_dir):
     return pairs.select(KEY, "age", "repeat", F.col("donor.age").alias("donor_age"), F.col("donor.balance").alias("donor_balance"))
 
 
-@register("preprocessed_features")
+_FILLED = {c: f"coalesce(CAST({c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM train))" for c in f.NUMERIC_FEATURES}
+_FILLED["missing"] = "CAST(pdays_since_previous_contact IS NULL AS DOUBLE)"
+_PREPROCESSED = f"""both_parts AS (
+  SELECT split, campaign_record_id, subscribed, {", ".join(f"{e_} AS x{i}" for i, e_ in enumerate(_FILLED.values()))},
+         {", ".join(f'"{c}"' for c in f.CATEGORICAL_FEATURES)}
+  FROM (SELECT *, {_FLAGS} FROM divided)
+), moments AS (
+  SELECT {", ".join(f"avg(x{i}) AS m{i}, stddev_samp(x{i}) AS s{i}" for i in range(5))} FROM both_parts WHERE split = 'train'
+), categories AS (
+  SELECT {", ".join(f'list_sort(list_distinct(list("{c}"))) AS c{i}' for i, c in enumerate(f.CATEGORICAL_FEATURES))} FROM train
+)"""
+
+
+@register(
+    "preprocessed_features",
+    oracle(
+        f"""SELECT campaign_record_id, subscribed, {", ".join(f"round((x{i} - m{i}) / s{i}, 6) AS z{i}" for i in range(5))},
+            {" || ',' || ".join(f"""list_aggregate(list_transform(c{i}, lambda c: CAST(CAST(c = "{c}" AS INTEGER) AS VARCHAR)), 'string_agg', ',')"""
+                                for i, c in enumerate(f.CATEGORICAL_FEATURES))} AS one_hot
+        FROM both_parts, moments, categories WHERE split = 'test'""",
+        _ORDERED, _TRAIN, _PREPROCESSED,
+    ),
+)
 def _preprocessed_features(spark, sf_dir):
-    """Test rows through preprocessing learned from the training rows."""
+    """Test rows through preprocessing learned from the training rows: scaled numbers, then 0/1 blocks."""
     train, test = parts(spark, sf_dir)
     fitted = Pipeline(stages=m.preprocessing_stages()).fit(train)
-    return fitted.transform(test).select(KEY, TARGET, vector_to_array("features").alias("features"))
+    vector = fitted.transform(test).select(KEY, TARGET, vector_to_array("features").alias("v"))
+    blocks = F.transform(F.slice("v", 6, 1000), lambda x: x.cast("int").cast("string"))
+    return vector.select(
+        KEY, TARGET, *[F.round(F.col("v")[i], 6).alias(f"z{i}") for i in range(5)], F.array_join(blocks, ",").alias("one_hot")
+    )
 
 
 @register("cross_validation_folds")
