@@ -208,7 +208,7 @@ def fit_classifier(spec: ModelSpec, train: DataFrame, target: str, seed: int = S
         rows = rows.repartition(slots)
     if spec.kind == "logistic":
         estimator = LogisticRegression(
-            regParam=1.0 / (p.get("C", 1.0) * n), elasticNetParam=0.0, standardization=False, maxIter=200,
+            regParam=1.0 / (p.get("C", 1.0) * n), elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-5,
             weightCol="class_weight",
         )
     elif spec.kind == "forest":
@@ -420,13 +420,9 @@ def best_candidate(results: DataFrame, comparison: DataFrame, baseline: str = "r
         [Rule("one_baseline", F.count_if(F.col("model") == baseline) == 1, kind="total")],
         "the model comparison",
     )
-    untuned = comparison.where(F.col("model") == baseline).select(
-        F.col("mean_average_precision").alias("baseline_average_precision")
-    )
+    untuned = comparison.where(F.col("model") == baseline).select("mean_average_precision").scalar()
     best = results.orderBy("rank_average_precision", "model").limit(1)
-    one = lambda d: d.withColumn("_k", F.lit(0))
-    # Both sides are single rows.
-    joined = one(best).join(one(untuned), "_k")
+    joined = best.withColumn("baseline_average_precision", untuned)
     return joined.select(
         F.lit("average_precision").alias("selection_metric"),
         "model",

@@ -292,13 +292,17 @@ def quality_overview(raw: DataFrame, cleaned: DataFrame, target: str = "subscrib
     unknown = F.lit(0).cast("long")
     for c in TEXT_COLUMNS:
         unknown = unknown + F.count_if(normalize(F.col(c)) == "unknown")
-    before = raw.agg(F.count(F.lit(1)).alias("raw_rows"), nulls(raw).alias("raw_missing"), unknown.alias("unknown"))
     after = cleaned.agg(
-        F.count(F.lit(1)).alias("clean_rows"),
-        nulls(cleaned).alias("clean_missing"),
-        F.count_if(F.col(target) == 0).alias("negatives"),
-        F.count_if(F.col(target) == 1).alias("positives"),
-    )
+        F.struct(
+            F.count(F.lit(1)).alias("clean_rows"),
+            nulls(cleaned).alias("clean_missing"),
+            F.count_if(F.col(target) == 0).alias("negatives"),
+            F.count_if(F.col(target) == 1).alias("positives"),
+        )
+    ).scalar()
+    both = raw.agg(
+        F.count(F.lit(1)).alias("raw_rows"), nulls(raw).alias("raw_missing"), unknown.alias("unknown")
+    ).select("*", after.alias("_after")).select("*", "_after.*")
     removed = F.col("raw_rows") - F.col("clean_rows")
     metrics = {
         "raw_rows": F.col("raw_rows"),
@@ -313,8 +317,6 @@ def quality_overview(raw: DataFrame, cleaned: DataFrame, target: str = "subscrib
         "non_subscribers": F.col("negatives"),
         "subscribers": F.col("positives"),
     }
-    # Both sides are one aggregate row.
-    both = before.withColumn("_k", F.lit(1)).join(after.withColumn("_k", F.lit(1)), "_k")
     pairs = [F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in metrics.items()]
     return both.select(F.inline(F.array(*pairs)))
 

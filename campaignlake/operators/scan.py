@@ -100,12 +100,14 @@ def ordered_scan(
     )
     previous = F.coalesce(F.col("_before"), F.col("_carry_last")) if lags else None
     added = []
-    if totals:
+    if totals and by:
         whole = ranged.groupBy(group.alias("_whole_group")).agg(*[F.sum(c).alias(f"total_{c}") for c in sums])
-        known = few_groups or not by
-        small = F.broadcast(whole) if known else broadcast_checked(whole)
+        small = F.broadcast(whole) if few_groups else broadcast_checked(whole)
         joined = joined.join(small, F.col("_row_group") == F.col("_whole_group"))
-        added = [f"total_{c}" for c in sums]
+        added = [F.col(f"total_{c}") for c in sums]
+    elif totals:
+        whole = ranged.agg(F.struct(*[F.sum(c).alias(c) for c in sums])).scalar()
+        added = [whole[c].alias(f"total_{c}") for c in sums]
     return joined.select(
         *df.columns,
         *added,

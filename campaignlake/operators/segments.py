@@ -222,9 +222,7 @@ def quantile_bands(df: DataFrame, column: str, target: str, q: int = 10) -> Data
     ranked = materialize(ranked_histogram(df, [column], target), "ranked")
     names = [f"e{i}" for i in range(q + 1)]
     edges = quantiles(ranked, {name: ("n", i / q) for i, name in enumerate(names)})
-    edges = edges.select(F.array_distinct(F.array(*names)).alias("_edges"))
-    # One row of q + 1 numbers.
-    rows = ranked.withColumn("_k", F.lit(0)).join(F.broadcast(edges.withColumn("_k", F.lit(0))), "_k")
+    rows = ranked.withColumn("_edges", edges.select(F.array_distinct(F.array(*names))).scalar())
     upper = F.slice("_edges", 2, q)
     index = F.least(F.size(F.filter(upper, lambda e: e < F.col("value"))), F.greatest(F.size("_edges") - 2, F.lit(0)))
     banded = (
