@@ -65,6 +65,10 @@ def compare(spark_rows: list[dict], oracle_rows: list[dict]) -> str | None:
 
 def check(spark, connection, name, query, sql, sf_dir) -> str | None:
     found = query(spark, sf_dir)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    for join in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        if join in plan:
+            return f"the plan holds a {join}"
     rows = [r.asDict() for r in found.collect()]
     cursor = connection.execute(sql)
     names = [d[0] for d in cursor.description]
