@@ -46,7 +46,7 @@ def run(query, spark, sf_dir: str) -> float:
 
 
 def fit_times(spark, sf_dir: str) -> dict[str, float]:
-    """Seconds to fit each candidate on all prepared training rows, with the reference settings."""
+    """Seconds to fit each candidate on all prepared training rows, with the full default settings."""
     train, _ = model_queries.parts(spark, sf_dir)
     fold = models.prepared_folds(train, KEY, TARGET, 5, parallelism=5)[0]
     out = {}
