@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 # Words of a text as the contracts define them; a null text has none.
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 OP2 = rf"""
 WITH split AS (
   SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
 windows AS (
   SELECT doc_id, i, w[i:i + 4] AS win
@@ -21,7 +21,7 @@ covered AS (
   FROM repeated CROSS JOIN (SELECT unnest(range(0, 5)) AS d) GROUP BY doc_id),
 measured AS (
   SELECT s.doc_id, len(w)::BIGINT AS n_words,
-         coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
          coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, quality_ledger
+from . import minhash_bbit, packing, quality_ledger
 from .common import table
 
 
@@ -29,7 +29,12 @@ def op2_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_minhash_bbit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_bbit.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_ledger": op2_quality_ledger,
+    "op3_minhash_bbit": op3_minhash_bbit,
 }
