@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import minhash_bbit, packing, quality_ledger
+from . import chat_parts, minhash_bbit, packing, quality_ledger, superkmer, unigram_count
 from .common import table
 
 
@@ -33,8 +33,27 @@ def op3_minhash_bbit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_bbit.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op5_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_parts.digests(chat_parts.format_conversations(rows.union(extra)))
+
+
+def op6_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram_count.count_tokens(table(spark, sf_dir, "documents"), token_file("piece_bpe_32k.model"))
+
+
+def op8_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer.remove_repeats(table(spark, sf_dir, "documents"), window=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_ledger": op2_quality_ledger,
     "op3_minhash_bbit": op3_minhash_bbit,
+    "op5_chat_parts": op5_chat_parts,
+    "op6_unigram_counts": op6_unigram_counts,
+    "op8_super_kmers": op8_super_kmers,
 }
