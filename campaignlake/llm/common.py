@@ -18,6 +18,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # The characters that separate words, the space and U+0009 to U+000D.
 SEPARATORS = " \t\n\x0b\x0c\r"
 
+NO_ID = -(2**63)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,9 +43,11 @@ def row_key(id_column: str, text_column: str) -> list[Column]:
     """Key of a document row: its id and a hash of its text.
 
     Rows that repeat both are interchangeable, so they may share results; rows that share only the
-    id, or hold no id, stay apart.
+    id, or hold no id, stay apart by their texts. A missing id is the smallest long, so that keys join
+    by plain equality.
     """
-    return [F.col(id_column).alias("key_id"), F.xxhash64(F.col(text_column)).alias("key_text")]
+    known = F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID))
+    return [known.alias("key_id"), F.xxhash64(F.col(text_column)).alias("key_text")]
 
 
 def worker_state(name: str, make):

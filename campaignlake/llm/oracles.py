@@ -38,6 +38,66 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM bits
 """
 
+def _share(parent: str, node: str) -> str:
+    """Budgets of the children in `nodes_<node>`, filled in the order in which they run out."""
+    by = f"PARTITION BY {parent}" if parent else ""
+    keep = f"{parent}, {node}" if parent else node
+    return f"""
+run_{node} AS (
+  SELECT *, sum(room) OVER ({by} ORDER BY room::DOUBLE / weight, {node} ROWS UNBOUNDED PRECEDING) AS cr,
+         sum(weight) OVER ({by} ORDER BY room::DOUBLE / weight, {node} ROWS UNBOUNDED PRECEDING) AS cw,
+         sum(weight) OVER ({by}) AS aw
+  FROM nodes_{node} WHERE weight > 0),
+full_{node} AS (SELECT *, cr * weight + room * (aw - cw) <= budget::HUGEINT * weight AS is_full FROM run_{node}),
+rest_{node} AS (
+  SELECT *, sum(CASE WHEN is_full THEN room ELSE 0 END) OVER ({by}) AS used,
+         sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({by}) AS open
+  FROM full_{node}),
+given_{node} AS (
+  SELECT {keep}, CASE WHEN is_full THEN room ELSE ((budget - used) * weight) // nullif(open, 0) END AS budget
+  FROM rest_{node})"""
+
+
+OP9 = rf"""
+WITH counted AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         CASE WHEN source IS NULL THEN 'other' WHEN right(source, 1) IN ('0', '1') THEN 'bulk'
+              WHEN right(source, 1) IN ('2', '3', '4', '5') THEN 'web' ELSE 'curated' END AS domain,
+         len({_WORDS})::BIGINT AS n_tokens
+  FROM documents),
+leaves AS (SELECT domain, lang, source, sum(n_tokens) AS supply, sum(n_tokens) * 3 AS room FROM counted GROUP BY ALL),
+nodes_domain AS (
+  SELECT domain, sum(room) AS room, (SELECT sum(supply) FROM leaves) * 600000 // 1000000 AS budget,
+         CASE domain WHEN 'bulk' THEN 20 WHEN 'web' THEN 45 WHEN 'curated' THEN 35 ELSE 1 END AS weight
+  FROM leaves GROUP BY domain),
+{_share("", "domain").strip()},
+nodes_lang AS (
+  SELECT l.domain, l.lang, any_value(g.budget) AS budget, sum(l.room) AS room,
+         CASE WHEN l.domain = 'other' THEN 1
+              ELSE CASE l.lang WHEN 'en' THEN 40 WHEN 'de' THEN 25 WHEN 'fr' THEN 20 WHEN 'es' THEN 15 ELSE 1 END
+         END AS weight
+  FROM leaves l JOIN given_domain g ON l.domain = g.domain GROUP BY l.domain, l.lang),
+{_share("domain", "lang").strip()},
+nodes_source AS (
+  SELECT l.domain, l.lang, l.source, l.room, g.budget, 1 AS weight
+  FROM leaves l JOIN given_lang g ON l.domain = g.domain AND l.lang = g.lang),
+{_share("domain, lang", "source").strip()},
+planned AS (
+  SELECT l.domain, l.lang, l.source, CASE WHEN supply > 0 THEN budget // supply ELSE 0 END AS passes,
+         CASE WHEN supply > 0 THEN budget % supply ELSE 0 END AS rest
+  FROM leaves l JOIN given_source g ON l.domain = g.domain AND l.lang = g.lang AND l.source = g.source),
+placed AS (
+  SELECT c.*, p.passes, p.rest,
+         sum(n_tokens) OVER (PARTITION BY c.domain, c.lang, c.source
+           ORDER BY md5('17:' || p.passes::BIGINT || ':' || doc_id), doc_id ROWS UNBOUNDED PRECEDING) AS sofar
+  FROM counted c JOIN planned p ON c.domain = p.domain AND c.lang = p.lang AND c.source = p.source),
+timed AS (
+  SELECT *, passes + CASE WHEN rest > 0 AND sofar <= rest THEN 1 ELSE 0 END AS times FROM placed)
+SELECT doc_id, domain, lang, source, n_tokens, unnest(range(0, times::BIGINT))::INTEGER AS epoch
+FROM timed WHERE times > 0
+"""
+
 ORACLES: dict[str, str] = {
     "op2_quality_ledger": OP2,
+    "op9_hierarchical_mix": OP9,
 }

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import chat_parts, minhash_bbit, packing, quality_ledger, superkmer, unigram_count
+from . import chat_parts, minhash_bbit, mixing, packing, quality_ledger, superkmer, unigram_count
 from .common import table
 
 
@@ -49,6 +49,25 @@ def op8_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.remove_repeats(table(spark, sf_dir, "documents"), window=50)
 
 
+# The corpus mix: three domains by the last digit of the source, then languages, then sources alike.
+def mix_levels() -> dict[str, Column]:
+    domain = F.expr(
+        "CASE WHEN source IS NULL THEN 'other' WHEN right(source, 1) IN ('0', '1') THEN 'bulk' "
+        "WHEN right(source, 1) IN ('2', '3', '4', '5') THEN 'web' ELSE 'curated' END")
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+MIX_WEIGHTS = {
+    ("bulk",): 20, ("web",): 45, ("curated",): 35, ("other",): 1,
+    **{(d, x): w for d in ("bulk", "web", "curated") for x, w in (("en", 40), ("de", 25), ("fr", 20), ("es", 15))},
+}
+
+
+def op9_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = mixing.mix(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, budget_share=0.6, max_epochs=3)
+    return chosen.select(F.col("key_id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "epoch")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_ledger": op2_quality_ledger,
@@ -56,4 +75,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_chat_parts": op5_chat_parts,
     "op6_unigram_counts": op6_unigram_counts,
     "op8_super_kmers": op8_super_kmers,
+    "op9_hierarchical_mix": op9_hierarchical_mix,
 }
