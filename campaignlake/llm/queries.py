@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import chat_parts, minhash_bbit, mixing, packing, quality_ledger, superkmer, unigram_count
+from . import chat_parts, minhash_bbit, mixing, packing, pii_disclosure, quality_ledger, superkmer, unigram_count
 from .common import table
 
 
@@ -33,6 +33,10 @@ def op3_minhash_bbit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_bbit.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op4_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_disclosure.report(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_ledger": op2_quality_ledger,
     "op3_minhash_bbit": op3_minhash_bbit,
+    "op4_pii_disclosure": op4_pii_disclosure,
     "op5_chat_parts": op5_chat_parts,
     "op6_unigram_counts": op6_unigram_counts,
     "op8_super_kmers": op8_super_kmers,
