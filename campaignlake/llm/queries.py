@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import chat_parts, minhash_bbit, mixing, packing, pii_disclosure, quality_ledger, superkmer, unigram_count
+from . import chat_parts, minhash_bbit, mixing, packing, pii_disclosure, quality_ledger, superkmer, toxicity_pu, unigram_count
 from .common import table
 
 
@@ -72,6 +72,11 @@ def op9_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select(F.col("key_id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "epoch")
 
 
+def op10_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_pu.score(docs, toxicity_pu.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_ledger": op2_quality_ledger,
@@ -81,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_unigram_counts": op6_unigram_counts,
     "op8_super_kmers": op8_super_kmers,
     "op9_hierarchical_mix": op9_hierarchical_mix,
+    "op10_toxicity_pu": op10_toxicity_pu,
 }
