@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import chat_parts, minhash_bbit, mixing, packing, pii_disclosure, quality_ledger, superkmer, toxicity_pu, unigram_count
+from . import chat_parts, minhash_bbit, mixing, nn_descent, packing, pii_disclosure, quality_ledger, superkmer, toxicity_pu, unigram_count
 from .common import table
 
 
@@ -49,6 +49,10 @@ def op6_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram_count.count_tokens(table(spark, sf_dir, "documents"), token_file("piece_bpe_32k.model"))
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op8_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.remove_repeats(table(spark, sf_dir, "documents"), window=50)
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii_disclosure": op4_pii_disclosure,
     "op5_chat_parts": op5_chat_parts,
     "op6_unigram_counts": op6_unigram_counts,
+    "op7_nn_descent": op7_nn_descent,
     "op8_super_kmers": op8_super_kmers,
     "op9_hierarchical_mix": op9_hierarchical_mix,
     "op10_toxicity_pu": op10_toxicity_pu,
