@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import grouped, materialize, parallel, worker_state
+from .common import NO_ID, grouped, materialize, parallel, row_key, worker_state
 from .components import components
 from .hashing import WordHasher, mix, runs
 
@@ -34,7 +34,7 @@ MARGIN = 0.125
 # Members of a bucket that one task compares with each other; larger buckets are cut into tiles.
 TILE = 2048
 
-SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, signature array<long>, bands array<long>"
+SIGNED = "doc_id long, key_text long, n_shingles long, set_a long, set_b long, signature array<long>, bands array<long>"
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -99,19 +99,21 @@ def sign(docs: DataFrame, shingle: int, id_column: str = "doc_id", text_column:
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
-            texts = [t or b"" for t in batch.column(1).to_pylist()]
+            ids, keys = batch.column(0), batch.column(1)
+            texts = [t or b"" for t in batch.column(2).to_pylist()]
             at = 0
             for sizes, digests, packed, bands in grouped(signed, texts, 1_000_000):
                 n = len(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, n), pa.array(sizes, pa.int64()), pa.array(digests[:, 0].view(np.int64)),
+                    [ids.slice(at, n), keys.slice(at, n), pa.array(sizes, pa.int64()), pa.array(digests[:, 0].view(np.int64)),
                      pa.array(digests[:, 1].view(np.int64)), _lists(packed), _lists(bands)],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "signature", "bands"],
+                    names=["doc_id", "key_text", "n_shingles", "set_a", "set_b", "signature", "bands"],
                 )
                 at += n
 
-    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"))
+    source = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(F.col(text_column)).alias("key_text"),
+        F.col(text_column).cast("binary").alias("text"))
     return source.mapInArrow(run, SIGNED)
 
 
@@ -230,8 +232,8 @@ def near_duplicates(
 ) -> DataFrame:
     """Component of every document under links of Jaccard similarity >= percent / 100 on word shingles.
 
-    Returns doc_id, n_shingles, component_id (smallest reachable id) and kept (it is its own component's
-    smallest), one row per input row. Texts compare lower-cased (A-Z) by words; a null, empty or wordless
+    Returns doc_id, n_shingles, component_id (smallest reachable id), kept (it is its own component's
+    smallest) and key_text (hash of the text, see `row_key`), one row per input row. Texts compare lower-cased (A-Z) by words; a null, empty or wordless
     text has the empty set and links with nothing, and a text of fewer words than a shingle is one
     shingle. Rows that repeat an id and text share one result. A row without an id links with nothing:
     its component_id is null and it is kept. Other columns are not read. An empty table gives no rows.
@@ -286,9 +288,30 @@ def near_duplicates(
     lowest = named.groupBy("component").agg(F.min("doc").alias("component_id"))
     by_set = named.join(lowest, "component").select("set_a", "set_b", "component_id")
     found = signed.where("n_shingles > 0").join(by_set, ["set_a", "set_b"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-    empty = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return found.union(empty).select("*", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
+        "key_text")
+    empty = signed.where("n_shingles = 0").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "key_text")
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return found.union(empty).select("doc_id", "n_shingles", "component_id", kept, "key_text")
+
+
+def deduplicated(
+    docs: DataFrame, shingle: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text",
+) -> DataFrame:
+    """The rows of `docs` that `near_duplicates` keeps, all columns unchanged.
+
+    One document of each component stays. Rows that repeat an id and text are one document, of which one
+    row stays; a missing id counts as an id here.
+    """
+    found = near_duplicates(docs, shingle, percent, id_column, text_column)
+    kept = found.where("kept").select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("key_id"), "key_text").distinct()
+    taken = docs.columns
+    keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in taken]).alias("row"), *row_key(id_column, text_column))
+    # The join places rows by key, so dropping repeated rows needs no further shuffle.
+    once = keyed.join(kept, ["key_id", "key_text"]).dropDuplicates(["key_id", "key_text"])
+    return once.select(*[F.col("row")[c].alias(c) for c in taken])
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, shingle: int, id_column: str, text_column: str) -> DataFrame:

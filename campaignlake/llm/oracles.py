@@ -38,6 +38,72 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM bits
 """
 
+OP3 = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, array_to_string(w, ' ') AS s FROM split WHERE len(w) BETWEEN 1 AND 3
+  UNION
+  SELECT doc_id, array_to_string(w[i:i + 3], ' ')
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM split WHERE len(w) >= 4)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= 80 * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT DISTINCT doc_id, doc_id AS r FROM documents
+  UNION
+  SELECT reach.doc_id, both_ways.y FROM reach JOIN both_ways ON both_ways.x = reach.r)
+SELECT d.doc_id, coalesce(any_value(z.n), 0)::BIGINT AS n_shingles, min(r) AS component_id, min(r) = d.doc_id AS kept
+FROM documents d JOIN reach ON reach.doc_id = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+_CONTROL = r"(\\|<</SYS>>|\[/INST\]|<<SYS>>|\[INST\]|</s>|<s>|<\||\|>)"
+
+OP5 = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+         coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
+         sum(23 + length(regexp_replace(role, '{_CONTROL}', '\1x', 'g'))
+             + length(regexp_replace(text, '{_CONTROL}', '\1x', 'g'))) AS formatted
+  FROM rows GROUP BY conv_id)
+SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted::BIGINT AS formatted_chars
+FROM joined
+"""
+
+OP8 = rf"""
+WITH split AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM split WHERE len(w) >= 50)),
+later AS (SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY win) < doc_id),
+removed AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM later),
+gone AS (SELECT doc_id, list(i) AS l, count(*) AS n FROM removed GROUP BY doc_id),
+kept AS (
+  SELECT s.doc_id, string_agg(x, ' ' ORDER BY k) AS t
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM split) s
+  LEFT JOIN removed r ON r.doc_id = s.doc_id AND r.i = s.k
+  WHERE r.i IS NULL GROUP BY s.doc_id)
+SELECT s.doc_id, len(w)::BIGINT AS n_words, coalesce(g.n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id LEFT JOIN kept k ON k.doc_id = s.doc_id
+"""
+
+
 def _share(parent: str, node: str) -> str:
     """Budgets of the children in `nodes_<node>`, filled in the order in which they run out."""
     by = f"PARTITION BY {parent}" if parent else ""
@@ -99,5 +165,8 @@ FROM timed WHERE times > 0
 
 ORACLES: dict[str, str] = {
     "op2_quality_ledger": OP2,
+    "op3_minhash_bbit": OP3,
+    "op5_chat_parts": OP5,
+    "op8_super_kmers": OP8,
     "op9_hierarchical_mix": OP9,
 }

@@ -30,7 +30,8 @@ def op2_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash_bbit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_bbit.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    found = minhash_bbit.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op4_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
