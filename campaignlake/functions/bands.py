@@ -66,6 +66,11 @@ def balance_band(column: Column, default: str = "Unclassified") -> Column:
     return select_case(list(zip(tests, BALANCE_LABELS)), default)
 
 
+def unclassified(column: Column, default: str) -> Column:
+    """Aggregate: how many rows a `select_case` column left to its default."""
+    return F.count_if(column == F.lit(default))
+
+
 def label_map(column: Column, labels: Mapping, default: str | None = None) -> Column:
     """Replace codes by labels; codes without a label give `default`."""
     return select_case([(column == F.lit(code), label) for code, label in labels.items()], default)

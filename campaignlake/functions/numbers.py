@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def percent(part: Column, whole: Column, digits: int | None = None, half_even: bool = False) -> Column:
@@ -35,3 +35,12 @@ def fail_when(condition: Column, message: str | Column, otherwise: Column, dtype
     """`otherwise`, but the job fails with `message` on a row where `condition` holds."""
     text = F.lit(message) if isinstance(message, str) else message
     return F.when(condition, F.raise_error(text).cast(dtype)).otherwise(otherwise)
+
+
+def fail_rows(df: DataFrame, condition: Column, message: str | Column) -> DataFrame:
+    """`df`, but the job fails with `message` on a row where `condition` holds.
+
+    The check is a filter, so it runs whichever columns a later step reads.
+    """
+    text = F.lit(message) if isinstance(message, str) else message
+    return df.where(F.when(condition, F.raise_error(text).cast("boolean")).otherwise(F.lit(True)))

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from campaignlake.functions.numbers import fail_when, ratio
+from campaignlake.functions.numbers import fail_rows, ratio
 from campaignlake.operators.scan import ordered_scan
 from campaignlake.operators.segments import argmax_row
 from campaignlake.session import materialize
@@ -303,8 +303,7 @@ def select_threshold(curve: DataFrame, default_f1: float | None = None) -> DataF
     if default_f1 is None:
         return best
     worse = F.col("f1") < F.lit(float(default_f1))
-    message = "The selected F1 threshold underperformed the default threshold."
-    return best.withColumn("f1", fail_when(worse, message, F.col("f1"), "double"))
+    return fail_rows(best, worse, "The selected threshold underperformed the default one in F1.")
 
 
 def label_at(df: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:

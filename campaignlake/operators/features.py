@@ -25,29 +25,30 @@ MODEL_FEATURES = NUMERIC_FEATURES + CATEGORICAL_FEATURES
 NULLABLE = "pdays_since_previous_contact"
 SEED = 42
 TEST_SHARE = 0.2
-
-# One line per feature with status, representation and reason.
-_CONTRACT = """
-age|source|included|numeric|Customer attribute available before the campaign; requires fairness review.
-job|source|included|categorical|Customer attribute available before the campaign.
-marital|source|included|categorical|Available before the campaign; requires fairness review.
-education|source|included|categorical|Customer attribute available before the campaign.
-default|source|included|categorical|Existing financial-status information.
-balance|source|included|numeric|Existing account information available before campaign contact.
-housing|source|included|categorical|Existing financial-obligation information.
-loan|source|included|categorical|Existing financial-obligation information.
-contact|source|excluded|not used|Current-campaign execution information.
-day|source|excluded|not used|Current-campaign execution date.
-month|source|excluded|not used|Current-campaign execution timing.
-duration|source|excluded|not used|Known only after the call ends; temporal data leakage.
-campaign|source|excluded|not used|Current-campaign contact count may accumulate after the targeting decision.
-pdays|source|transformed|not used directly|Sentinel value -1 is separated from elapsed days.
-previous|source|included|numeric|Historical campaign-contact count.
-poutcome|source|included|categorical|Historical campaign outcome.
-previously_contacted|derived|included|categorical|Separates no prior contact from valid pdays values.
-pdays_since_previous_contact|derived|included|numeric|Elapsed days only for previously contacted clients.
-negative_balance|derived|included|categorical|Captures whether the account balance is negative.
-"""
+MOST_CLASSES = 100
+
+# Feature, source or derived, status in the pre-campaign model, representation.
+_CONTRACT = [
+    ("age", "source", "included", "numeric"),
+    ("job", "source", "included", "categorical"),
+    ("marital", "source", "included", "categorical"),
+    ("education", "source", "included", "categorical"),
+    ("default", "source", "included", "categorical"),
+    ("balance", "source", "included", "numeric"),
+    ("housing", "source", "included", "categorical"),
+    ("loan", "source", "included", "categorical"),
+    ("contact", "source", "excluded", "not used"),
+    ("day", "source", "excluded", "not used"),
+    ("month", "source", "excluded", "not used"),
+    ("duration", "source", "excluded", "not used"),
+    ("campaign", "source", "excluded", "not used"),
+    ("pdays", "source", "transformed", "not used directly"),
+    ("previous", "source", "included", "numeric"),
+    ("poutcome", "source", "included", "categorical"),
+    ("previously_contacted", "derived", "included", "categorical"),
+    ("pdays_since_previous_contact", "derived", "included", "numeric"),
+    ("negative_balance", "derived", "included", "categorical"),
+]
 
 
 def engineer_features(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -83,11 +84,11 @@ def check_feature_columns(columns: Sequence[str], target: str = "subscribed", fo
     """Column order, no current-campaign column, no target among the features."""
     found = sorted(set(columns) & set(forbidden))
     if found:
-        raise ValueError(f"Current-campaign features were found in the primary model: {found}")
+        raise ValueError(f"Current-campaign features must stay out of the model: {found}")
     if target in columns:
-        raise ValueError("The target column was included in the features.")
+        raise ValueError(f"The target {target!r} must not be a model feature.")
     if list(columns) != MODEL_FEATURES:
-        raise ValueError("Feature columns do not match the expected feature list.")
+        raise ValueError(f"The model needs these feature columns in this order: {MODEL_FEATURES}")
 
 
 def check_features(df: DataFrame, target: str = "subscribed", ignore: Sequence[str] = ()) -> None:
@@ -97,10 +98,15 @@ def check_features(df: DataFrame, target: str = "subscribed", ignore: Sequence[s
 
 
 def _class_counts(df: DataFrame, target: str) -> dict:
-    counts = {row[target]: row["count"] for row in df.groupBy(target).count().limit(101).collect()}
-    if len(counts) > 100 or None in counts:
-        raise ValueError("Stratification needs at most 100 classes and no null target.")
-    return counts
+    """Rows per class. The driver holds one number per class and one cut point per class and split."""
+    classes = df.groupBy(target).count()
+    known = classes.agg(F.count(F.lit(1)).alias("classes"), F.count_if(F.col(target).isNull()).alias("nulls")).first()
+    if known["classes"] > MOST_CLASSES or known["nulls"]:
+        raise ValueError(
+            f"The target has {known['classes']} classes, nulls included: stratification takes at most {MOST_CLASSES} "
+            "and no nulls. Continuous targets need bands first."
+        )
+    return {row[target]: row["count"] for row in classes.collect()}
 
 
 def allocate(counts: Mapping, draws: int) -> dict:
@@ -179,24 +185,34 @@ def split_summary(df: DataFrame, split: str, target: str) -> DataFrame:
 
 
 def feature_contract(spark: SparkSession) -> DataFrame:
-    """The 19 documented features as a table."""
-    rows = [tuple(line.split("|")) for line in _CONTRACT.strip().splitlines()]
+    """The 19 documented features as a table.
+
+    Columns of the running campaign are excluded because they are not known when clients are chosen.
+    """
     return spark.createDataFrame(
-        rows,
-        "feature string, source_or_derived string, primary_model_status string, model_representation string, reason string",
+        _CONTRACT,
+        "feature string, source_or_derived string, primary_model_status string, model_representation string",
     )
 
 
 def attach_target(features: DataFrame, targets: DataFrame, key: str, target: str = "subscribed") -> DataFrame:
-    """Join features and target on their key; fails when the two do not hold the same keys."""
-    pair = features.withColumn("_f", F.lit(True)).join(
-        targets.select(key, target).withColumn("_t", F.lit(True)), key, "full"
-    )
-    apart = F.col("_f").isNull() | F.col("_t").isNull()
-    checked = F.when(apart, F.raise_error(F.lit("Feature and target keys are not aligned.")).cast("int")).otherwise(
-        F.col(target)
-    )
-    return pair.withColumn(target, checked).drop("_f", "_t")
+    """Join features and target on their key; fails when a key repeats or is on one side only.
+
+    Both checks run before the join is returned, over the keys alone.
+    """
+    sides = features.select(key, F.lit(1).alias("_f"), F.lit(0).alias("_t")).unionAll(
+        targets.select(key, F.lit(0).alias("_f"), F.lit(1).alias("_t")))
+    counted = sides.groupBy(key).agg(F.sum("_f").alias("_f"), F.sum("_t").alias("_t"))
+    wrong = counted.agg(
+        F.count_if(F.greatest("_f", "_t") > 1).alias("repeated"), F.count_if(F.least("_f", "_t") == 0).alias("apart"),
+        F.count_if(F.col(key).isNull()).alias("missing"),
+    ).first()
+    if wrong["repeated"] or wrong["apart"] or wrong["missing"]:
+        raise ValueError(
+            f"Feature and target keys are not aligned: {wrong['repeated']} keys repeat, {wrong['apart']} are on one side "
+            f"only, {wrong['missing']} are null."
+        )
+    return features.join(targets.select(key, target), key)
 
 
 def check_split(

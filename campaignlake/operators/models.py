@@ -15,6 +15,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, St
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from campaignlake.functions.numbers import fail_rows
 from campaignlake.operators.evaluation import average_precision, probability_metrics, threshold_metrics
 from campaignlake.operators.features import CATEGORICAL_FEATURES, MODEL_FEATURES, NUMERIC_FEATURES, SEED, stratified_folds
 from campaignlake.operators.quality import Rule, require_rules
@@ -29,14 +30,13 @@ FOREST = {"n_estimators": 250, "max_depth": 12, "min_samples_leaf": 5, "max_feat
 SEARCH_SPACE = {
     "n_estimators": [200, 300, 450, 600],
     "max_depth": [8, 10, 12, 16, 20, None],
-    "min_samples_split": [2, 5, 10, 20],
     "min_samples_leaf": [1, 2, 5, 10, 20],
     "max_features": ["sqrt", "log2", 0.5],
-    "class_weight": ["balanced", "balanced_subsample"],
     "max_samples": [None, 0.70, 0.85],
 }
 DEEPEST_TREE = 30  # limit of Spark's trees; stands for "no limit"
-NODE_CACHE_BYTES = 4 << 30  # keep node ids between passes only while they stay below this
+# Rows per partition that a fit lays its rows out in, and the most partitions.
+FIT_ROWS, FIT_PARTITIONS = 8192, 20_000
 
 
 def _sql_text(value: str) -> str:
@@ -148,12 +148,12 @@ def preprocessing_stages(
 def preprocessing_contract(spark) -> DataFrame:
     """Two documented rows: what happens to numeric and to categorical features."""
     rows = [
-        ("numerical", ", ".join(NUMERIC_FEATURES), "Median imputation learned within each training fold",
-         "StandardScaler learned within each training fold",
-         "A missingness indicator is added for pdays_since_previous_contact."),
-        ("categorical", ", ".join(CATEGORICAL_FEATURES), "Most-frequent imputation learned within each training fold",
-         "OneHotEncoder with handle_unknown='ignore'",
-         "Unseen categories in validation or test data do not cause a prediction failure."),
+        ("numerical", ", ".join(NUMERIC_FEATURES), "exact median of the fitted rows",
+         "centred and divided by the deviation of the fitted rows",
+         "columns with nulls among the fitted rows get a 0/1 column beside them"),
+        ("categorical", ", ".join(CATEGORICAL_FEATURES), "most frequent value of the fitted rows, smallest on ties",
+         "one 0/1 slot per value of the fitted rows, in alphabetical order",
+         "a value that was not fitted has zeros in all slots"),
     ]
     return spark.createDataFrame(
         rows, "feature_group string, features string, missing_value_strategy string, encoding_or_scaling string, notes string"
@@ -188,24 +188,41 @@ def class_weights(df: DataFrame, target: str) -> tuple[int, dict[int, float]]:
     return n, {c: n / (2 * k) for c, k in counts.items()}
 
 
-def fit_classifier(spec: ModelSpec, train: DataFrame, target: str, seed: int = SEED):
+def fit_layout(rows: DataFrame, n: int, key: str | None) -> DataFrame:
+    """`rows` placed by a hash of the key, in order, in a number of partitions that follows from `n` alone.
+
+    Spark draws a forest's samples by partition and sums gradients by partition, so this makes a fit
+    independent of how files were split and how many cores there are. Without a key, the feature
+    values stand in for it; equal rows are interchangeable.
+    """
+    place = F.col(key) if key else F.xxhash64(vector_to_array("features"), "label")
+    parts = min(FIT_PARTITIONS, max(1, -(-n // FIT_ROWS)))
+    laid = rows.withColumn("_place", place)
+    return laid.repartition(parts, F.xxhash64("_place")).sortWithinPartitions("_place").drop("_place")
+
+
+def fit_classifier(
+    spec: ModelSpec, train: DataFrame, target: str, seed: int = SEED, key: str | None = None,
+    cache_node_ids: bool = True, max_memory_mb: int = 1024,
+):
     """Fit one candidate on a frame with `features` and the target; returns a Spark ML model.
 
-    `C` becomes regParam = 1 / (C * n). A forest without depth limit gets Spark's deepest tree;
-    `min_samples_split` has no counterpart in Spark and is not used. Caching node ids saves walking
-    the trees again in each pass but takes 4 bytes per row and tree, so it is tied to that size.
+    `C` becomes regParam = 1 / (C * n). A forest without depth limit gets Spark's deepest tree.
+    `cache_node_ids` saves walking the trees again in each pass and takes 4 bytes per row and tree of
+    executor memory; `max_memory_mb` bounds the split statistics of one pass, so more means fewer passes.
+    Neither changes the result; the row layout does not either, see `fit_layout`.
     """
     n, weights = class_weights(train, target)
     if spec.kind == "prior":
         share = weights_to_rate(weights)
         return SQLTransformer(statement=f"SELECT *, {share!r}D AS score FROM __THIS__")
     weight = F.when(F.col(target) == 1, F.lit(weights[1])).otherwise(F.lit(weights[0])) if spec.balanced else F.lit(1.0)
-    rows = train.select("features", F.col(target).cast("double").alias("label"), weight.alias("class_weight"))
+    carried = [key] if key else []
+    rows = fit_layout(
+        train.select("features", F.col(target).cast("double").alias("label"), weight.alias("class_weight"), *carried),
+        n, key,
+    )
     p = dict(spec.params)
-    # Fitting is computation on rows read many times: a small table must not sit in a few partitions.
-    slots = train.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < slots:
-        rows = rows.repartition(slots)
     if spec.kind == "logistic":
         estimator = LogisticRegression(
             regParam=1.0 / (p.get("C", 1.0) * n), elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-5,
@@ -213,17 +230,16 @@ def fit_classifier(spec: ModelSpec, train: DataFrame, target: str, seed: int = S
         )
     elif spec.kind == "forest":
         strategy = p.get("max_features", "sqrt")
-        trees = p.get("n_estimators", 100)
         estimator = RandomForestClassifier(
-            numTrees=trees,
+            numTrees=p.get("n_estimators", 100),
             maxDepth=DEEPEST_TREE if p.get("max_depth") is None else p["max_depth"],
             minInstancesPerNode=p.get("min_samples_leaf", 1),
             featureSubsetStrategy=strategy if isinstance(strategy, str) else str(strategy),
             subsamplingRate=p.get("max_samples") or 1.0,
             weightCol="class_weight",
             seed=seed,
-            maxMemoryInMB=512,
-            cacheNodeIds=4 * n * trees <= NODE_CACHE_BYTES,
+            maxMemoryInMB=max_memory_mb,
+            cacheNodeIds=cache_node_ids,
         )
     else:
         raise ValueError(f"unknown model kind {spec.kind!r}")
@@ -243,11 +259,14 @@ def score(model, df: DataFrame) -> DataFrame:
     return out.select(*df.columns, "score")
 
 
-def fit_final(spec: ModelSpec, train: DataFrame, target: str, seed: int = SEED) -> PipelineModel:
+def fit_final(
+    spec: ModelSpec, train: DataFrame, target: str, seed: int = SEED, key: str | None = None
+) -> PipelineModel:
     """Preprocessing and classifier fitted on all training rows, as one saveable pipeline."""
     prepared = Pipeline(stages=preprocessing_stages()).fit(train.select(*MODEL_FEATURES))
-    ready = materialize(prepared.transform(train.select(target, *MODEL_FEATURES)).select(target, "features"), "ready")
-    return PipelineModel(stages=[*prepared.stages, fit_classifier(spec, ready, target, seed)])
+    kept = [key, target] if key else [target]
+    ready = materialize(prepared.transform(train.select(*kept, *MODEL_FEATURES)).select(*kept, "features"), "ready")
+    return PipelineModel(stages=[*prepared.stages, fit_classifier(spec, ready, target, seed, key)])
 
 
 @dataclass(frozen=True)
@@ -300,7 +319,7 @@ def fold_scores(
     def run(task):
         spec, fold = task
         start = time.perf_counter()
-        model = fit_classifier(spec, fold.train, target, seed)
+        model = fit_classifier(spec, fold.train, target, seed, key)
         fitted = time.perf_counter()
         rows = score(model, fold.test).select(
             F.col(key).alias("id"), F.col(target).cast("int").alias("label"), "score"
@@ -457,7 +476,7 @@ def save_model(model: PipelineModel, path: str, threshold: float, target: str, s
         F.array(*[F.lit(c) for c in MODEL_FEATURES]).alias("model_features"),
         F.lit(target).alias("target_column"),
         F.lit(1).alias("positive_class"),
-        F.lit("Pre-campaign client prioritization before current-campaign contact begins.").alias("prediction_contract"),
+        F.lit("Scores order clients before the campaign contacts any of them.").alias("prediction_contract"),
         F.lit(False).alias("test_set_used"),
     )
     write_metadata(record, f"{path}/contract")
@@ -481,9 +500,7 @@ def check_reload(model, reloaded, df: DataFrame, key: str, rows: int = 50, toler
     before = score(model, sample).select(key, F.col("score").alias("original_score"))
     after = score(reloaded, sample).select(key, F.col("score").alias("reloaded_score"))
     apart = F.abs(F.col("original_score") - F.col("reloaded_score")) > tolerance * (1 + F.abs("reloaded_score"))
-    message = F.lit("Reloaded model predictions do not match the original fitted model.")
-    checked = F.when(apart, F.raise_error(message).cast("double")).otherwise(F.col("reloaded_score"))
-    return before.join(after, key).withColumn("reloaded_score", checked)
+    return fail_rows(before.join(after, key), apart, "The stored model scores differently from the fitted one.")
 
 
 def shuffled_donors(df: DataFrame, key: str, columns: Sequence[str], repeats: int, seed: int = SEED) -> DataFrame:

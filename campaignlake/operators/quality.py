@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from campaignlake.functions.bands import label_map
-from campaignlake.functions.numbers import fail_when, percent, to_number
+from campaignlake.functions.numbers import fail_rows, percent, to_number
 from campaignlake.functions.text import normalize
 from campaignlake.operators.scan import quantiles, ranked_histogram
 from campaignlake.session import materialize
@@ -137,9 +137,14 @@ def domain_report(df: DataFrame, domains: Mapping[str, Sequence[str]]) -> DataFr
 
 def check_domain(df: DataFrame, column: str, allowed: Sequence[str]) -> None:
     """The normalised values of a column must equal a given set."""
-    problems = domain_report(df, {column: allowed}).where(F.col("status") != "ok").limit(20).collect()
-    if problems:
-        listed = sorted(f"{row['value']} ({row['status']})" for row in problems)
+    problems = domain_report(df, {column: allowed}).where(F.col("status") != "ok")
+    # How many there are in all, and the first of each kind by name as examples.
+    found = problems.groupBy("status").agg(
+        F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"), F.min("value").alias("example")
+    ).orderBy("status").collect()
+    if found:
+        listed = "; ".join(
+            f"{r['example']} ({r['status']}), {r['values']} such values in {r['rows']} rows" for r in found)
         raise ValueError(f"Unexpected values in {column}: {listed}. Expected: {sorted(allowed)}.")
 
 
@@ -255,8 +260,7 @@ def encode_target(df: DataFrame, column: str, codes: Mapping[str, int] = TARGET_
     """Replace the target text by its code; a value without a code fails the job."""
     code = label_map(F.col(column), {k: str(v) for k, v in codes.items()}).cast("tinyint")
     message = F.concat(F.lit("Target encoding found an unmapped value: "), F.coalesce(column, F.lit("null")))
-    encoded = fail_when(code.isNull(), message, code, "tinyint")
-    return df.withColumn(out, encoded).drop(column)
+    return fail_rows(df, code.isNull(), message).withColumn(out, code).drop(column)
 
 
 def prepare(df: DataFrame, balance_errors: str = "raise") -> DataFrame:

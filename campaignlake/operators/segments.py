@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from campaignlake.functions.bands import category_position, label_map
-from campaignlake.functions.numbers import fail_when, percent, ratio
+from campaignlake.functions.numbers import fail_rows, percent, ratio
 from campaignlake.operators.scan import ordered_scan, quantiles, ranked_histogram, value_histogram
 from campaignlake.session import broadcast_checked, materialize
 
@@ -259,7 +259,7 @@ def size_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
-    """Equal-width bins per numeric column, last bin closed; empty bins are left out.
+    """Equal-width bins per numeric column, last bin closed; an empty bin has a count of zero.
 
     The maximum belongs to the last bin. A constant column gets a range of one around its value.
     """
@@ -273,10 +273,15 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     )
     width = (F.col("_high") - F.col("_low")) / F.lit(bins)
     index = F.least(F.lit(bins - 1), F.floor((F.col("value") - F.col("_low")) / width))
-    return (
+    filled = (
         counted.join(F.broadcast(ends), "feature")
-        .groupBy("feature", "_low", "_high", index.cast("int").alias("bin"))
+        .groupBy("feature", index.cast("int").alias("bin"))
         .agg(F.sum("n").alias("count"))
+    )
+    return (
+        ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+        .join(filled, ["feature", "bin"], "left")
+        .withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
         .select(
             "feature",
             "bin",
@@ -346,13 +351,9 @@ def best_scalable_segment(df: DataFrame, features, target: str, min_share: float
     best = ranked.where(F.col("segment_rank") == 1).drop("segment_rank")
     wanted = df.sparkSession.createDataFrame([(f,) for f in names], "feature string")
     joined = wanted.join(best, "feature", "left")
-    checked = fail_when(
-        F.col("client_count").isNull(),
-        F.concat(F.lit("No eligible segments found for "), F.col("feature")),
-        F.col("client_count"),
-        "long",
+    return fail_rows(
+        joined, F.col("client_count").isNull(), F.concat(F.lit("No eligible segments found for "), F.col("feature"))
     )
-    return joined.withColumn("client_count", checked)
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

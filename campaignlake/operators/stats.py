@@ -8,7 +8,7 @@ from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from campaignlake.functions.numbers import fail_when, ratio
+from campaignlake.functions.numbers import fail_rows, fail_when, ratio
 from campaignlake.functions.survival import chi_square_p_value, normal_p_value
 from campaignlake.operators.scan import mid_rank, quantiles, ranked_histogram
 from campaignlake.operators.segments import segment_counts
@@ -16,6 +16,7 @@ from campaignlake.session import materialize
 
 ALPHA = 0.05
 CONFIDENCE = 0.95
+TOO_SMALL = "Cramér's V needs rows and at least two categories on both sides."
 
 
 def z_score(confidence: float) -> float:
@@ -39,7 +40,7 @@ def cramers_v(chi_square: Column, n: Column, rows: Column, columns: Column) -> C
     value = F.sqrt(ratio(chi_square, n * smaller))
     return fail_when(
         (n <= 0) | (smaller <= 0),
-        "Cramér's V requires a non-empty table with at least two categories.",
+        TOO_SMALL,
         value,
         "double",
     )
@@ -70,6 +71,7 @@ def chi_square_tests(df: DataFrame, features, target: str, p_values: bool = True
         )
     )
     classes = F.when((F.col("_p") > 0) & (F.col("_p") < F.col("_n")), F.lit(2)).otherwise(F.lit(1))
+    tested = fail_rows(tested, (F.col("_n") <= 0) | (F.least(F.col("_r"), classes) <= 1), TOO_SMALL)
     share = F.bround(F.lit(100.0) * F.col("expected_cells_below_five") / (F.col("_r") * 2), 2)
     out = tested.select(
         "feature",
@@ -144,10 +146,8 @@ def mann_whitney_tests(df: DataFrame, specs: Sequence[GroupTest], target: str, p
     distance = F.greatest(F.col("mann_whitney_u"), n1 * n0 - F.col("mann_whitney_u")) - n1 * n0 / 2 - 0.5
     gap = F.col("subscriber_median") - F.col("non_subscriber_median")
     effect = F.lit(2.0) * F.col("mann_whitney_u") / (n1 * n0) - 1
-    u = fail_when(
-        empty, F.concat(F.lit("Feature '"), F.col("feature"), F.lit("' has an empty group.")), F.col("mann_whitney_u"), "double"
-    )
-    out = joined.withColumn("mann_whitney_u", u).select(
+    whole = fail_rows(joined, empty, F.concat(F.lit("Test '"), F.col("feature"), F.lit("' has an empty group.")))
+    out = whole.select(
         F.col("feature").alias("analysis_name"),
         *[described[F.col("feature")][c].alias(c) for c in ("source_feature", "subset", "leakage_sensitive")],
         "subscriber_sample_size",
@@ -179,9 +179,7 @@ def benjamini_hochberg(
     """
     p = F.col(p_column)
     bad = p.isNull() | F.isnan(p) | (p < 0) | (p > 1)
-    checked = df.withColumn(
-        p_column, fail_when(bad, "All p-values must be valid values between 0 and 1.", p, "double")
-    )
+    checked = fail_rows(df, bad, "A p-value is missing or not between 0 and 1.")
     groups = list(family) or [F.lit(0)]
     window = Window.partitionBy(*groups)
     upward = window.orderBy(F.col(p_column), *key)
@@ -204,8 +202,8 @@ def wilson_columns(successes: Column, total: Column, confidence: float = CONFIDE
     n, k = total.cast("double"), successes.cast("double")
     checked = fail_when(
         n <= 0,
-        "The total sample size must be positive.",
-        fail_when((k < 0) | (k > n), "Successes must be between zero and total.", F.try_divide(k, n), "double"),
+        "A rate needs at least one row.",
+        fail_when((k < 0) | (k > n), "Successes must lie between zero and total rows.", F.try_divide(k, n), "double"),
         "double",
     )
     z2 = F.lit(z * z)
@@ -219,6 +217,7 @@ def wilson_columns(successes: Column, total: Column, confidence: float = CONFIDE
 def wilson_interval(df: DataFrame, target: str, confidence: float = CONFIDENCE) -> DataFrame:
     """One row: the positive rate in percent with its Wilson interval."""
     counted = df.agg(F.count(F.lit(1)).alias("total"), F.sum(F.col(target).cast("long")).alias("positives"))
+    counted = fail_rows(counted, F.col("total") <= 0, "A rate needs at least one row.")
     estimate, low, high = wilson_columns(F.col("positives"), F.col("total"), confidence)
     return counted.select(
         F.col("total").alias("total_clients"),
@@ -277,19 +276,12 @@ def proportion_differences(
     ra, rb = F.try_divide(F.col("group_a_subscribers"), na), F.try_divide(F.col("group_b_subscribers"), nb)
     error = F.sqrt(F.try_divide(ra * (1 - ra), na) + F.try_divide(rb * (1 - rb), nb))
     z = F.lit(z_score(confidence))
-    size = fail_when(
-        F.col("_both") > 0,
-        F.concat(F.lit("Comparison groups overlap: "), F.col("comparison")),
-        fail_when(
-            (na == 0) | (nb == 0),
-            F.concat(F.lit("An empty comparison group was found: "), F.col("comparison")),
-            F.col("group_a_size"),
-            "long",
-        ),
-        "long",
+    rows = fail_rows(rows, F.col("_both") > 0, F.concat(F.lit("Groups overlap in the comparison "), F.col("comparison")))
+    rows = fail_rows(
+        rows, (na == 0) | (nb == 0), F.concat(F.lit("A group is empty in the comparison "), F.col("comparison"))
     )
     return rows.select(
-        "comparison", "group_a", "group_b", size.alias("group_a_size"), "group_b_size",
+        "comparison", "group_a", "group_b", "group_a_size", "group_b_size",
         "group_a_subscribers", "group_b_subscribers",
         (ra * 100).alias("group_a_rate_percentage"),
         (rb * 100).alias("group_b_rate_percentage"),

@@ -156,9 +156,14 @@ def _outlier_summary(spark, sf_dir):
     return q.outlier_summary(raw_campaign(spark, sf_dir), q.NUMBER_COLUMNS)
 
 
-@register("normalize_text", oracle("SELECT job, count(*) AS n FROM prepared GROUP BY job", _PREPARED))
+_TEXTS = ", ".join(f'"{c}"' for c in q.TEXT_COLUMNS)
+
+
+@register("normalize_text", oracle(f"SELECT {_TEXTS}, count(*) AS n FROM prepared GROUP BY ALL", _PREPARED))
 def _normalize_text(spark, sf_dir):
-    return q.normalize_text(raw_campaign(spark, sf_dir), ["job"]).groupBy("job").agg(F.count(F.lit(1)).alias("n"))
+    """All text columns normalised, with the rows of each combination."""
+    texts = q.normalize_text(raw_campaign(spark, sf_dir), q.TEXT_COLUMNS)
+    return texts.groupBy(*q.TEXT_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register(

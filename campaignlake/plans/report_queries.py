@@ -67,7 +67,7 @@ _REPORT_SQL = {
     "scalable_segment_ranking": f"""
         SELECT *, CAST(row_number() OVER (PARTITION BY feature
                        ORDER BY subscription_rate DESC, subscriber_count DESC, segment) AS INTEGER) AS segment_rank
-        FROM ({_union(_RANKED)}) WHERE client_count >= 452""",
+        FROM ({_union(_RANKED)}) WHERE client_count >= (SELECT floor(count(*) * 0.01) FROM campaign)""",
 }
 
 
@@ -92,7 +92,7 @@ for _name in REPORTS:
         UNION ALL SELECT 'conversion_by_campaign_contacts', (SELECT count(DISTINCT """ + _CONTACTS + """) FROM campaign), count(*) FROM campaign
         UNION ALL SELECT 'job_performance_ranking', (SELECT count(DISTINCT job) FROM campaign), count(*) FROM campaign
         UNION ALL SELECT 'scalable_segment_ranking', count(*), CAST(sum(client_count) AS BIGINT)
-                  FROM (""" + _union(_RANKED) + """) WHERE client_count >= 452"""
+                  FROM (""" + _union(_RANKED) + """) WHERE client_count >= (SELECT floor(count(*) * 0.01) FROM campaign)"""
     ),
 )
 def _report_suite(spark, sf_dir):
@@ -136,7 +136,7 @@ def _read_clean(spark, sf_dir):
     """Load a stored table and check columns, nulls, target domain and counts on the way."""
     rows = campaign(spark, sf_dir)
     path = scratch_path(spark, "clean")
-    files.write_report(rows, path, "parquet", row_level=True)
+    files.write_report(rows, path, "parquet")
     return files.read_clean(spark, path, COLUMNS, TARGET, {"row_count": table(spark, sf_dir, "orders").count()})
 
 
@@ -145,7 +145,7 @@ def _report_set(spark, sf_dir):
     """A report written as one CSV file and loaded again by name."""
     report = run_report(campaign(spark, sf_dir), "subscription_by_job")
     path = scratch_path(spark, "reports")
-    files.write_report(report, path)
+    files.write_report(report, path, single_file=True)
     return files.load_report_set(spark, {"jobs": path}, {"jobs": report.schema})["jobs"]
 
 

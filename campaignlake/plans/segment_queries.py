@@ -336,11 +336,14 @@ def _group_sizes(spark, sf_dir):
 @register(
     "value_histogram",
     oracle(
-        f"""SELECT feature, bin, round(low + bin * ((high - low) / 30), 6) AS lower_edge,
-            round(low + (bin + 1) * ((high - low) / 30), 6) AS upper_edge, count(*) AS count
-        FROM (SELECT feature, low, high, CAST(least(29, floor((v - low) / ((high - low) / 30))) AS INTEGER) AS bin
-              FROM (SELECT feature, v, min(v) OVER (PARTITION BY feature) AS low, max(v) OVER (PARTITION BY feature) AS high
-                    FROM ({_long(NUMBERS)}))) GROUP BY feature, bin, low, high"""
+        f"""SELECT e.feature, e.bin, round(low + e.bin * ((high - low) / 30), 6) AS lower_edge,
+            round(low + (e.bin + 1) * ((high - low) / 30), 6) AS upper_edge, coalesce(c.n, 0) AS count
+        FROM (SELECT feature, min(v) AS low, max(v) AS high, unnest(CAST(range(0, 30) AS INTEGER[])) AS bin
+              FROM ({_long(NUMBERS)}) GROUP BY feature) e
+        LEFT JOIN (
+          SELECT feature, CAST(least(29, floor((v - low) / ((high - low) / 30))) AS INTEGER) AS bin, count(*) AS n
+          FROM (SELECT feature, v, min(v) OVER (PARTITION BY feature) AS low, max(v) OVER (PARTITION BY feature) AS high
+                FROM ({_long(NUMBERS)})) GROUP BY 1, 2) c ON c.feature = e.feature AND c.bin = e.bin"""
     ),
 )
 def _value_histogram(spark, sf_dir):
@@ -386,12 +389,14 @@ def _rank_segments(spark, sf_dir):
     oracle(
         f"""SELECT *, CAST(row_number() OVER (PARTITION BY feature ORDER BY subscription_rate DESC, subscriber_count DESC, segment)
                   AS INTEGER) AS segment_rank
-        FROM ({_union(_RANKED, _HALF_UP)}) WHERE client_count >= 452"""
+        FROM ({_union(_RANKED, _HALF_UP)}) WHERE client_count >= (SELECT floor(count(*) * 0.01) FROM campaign)"""
     ),
 )
 def _rank_within_feature(spark, sf_dir):
     features = {name: F.col(column) for name, column in _RANKED.items()}
-    return s.rank_within_feature(s.multi_segment_rates(campaign(spark, sf_dir), features, TARGET), 452)
+    rows = campaign(spark, sf_dir)
+    smallest = F.floor(rows.agg(F.count(F.lit(1))).scalar() * F.lit(0.01))
+    return s.rank_within_feature(s.multi_segment_rates(rows, features, TARGET), smallest)
 
 
 _SCALABLE = {**_RANKED, "age_group": _CUT_AGE, "balance_group": _BALANCE, "campaign_group": _CONTACTS}

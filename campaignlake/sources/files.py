@@ -47,13 +47,13 @@ def read_clean(
     return df
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "csv", row_level: bool = False) -> None:
-    """Overwrite one named report.
+def write_report(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False) -> None:
+    """Overwrite one named report; its files keep the frame's partitions.
 
-    A report of bounded size becomes one file with a header; row-level outputs keep their
-    partitions.
+    `single_file` is for reports of bounded size: their rows move to one task at the very end, so
+    that the work before them stays spread.
     """
-    out = df if row_level else df.coalesce(1)
+    out = df.repartition(1) if single_file else df
     writer = out.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", True).csv(path)
@@ -63,7 +63,7 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv", row_level: bool = F
 
 def write_metadata(record: DataFrame, path: str) -> None:
     """Write a one-row record (nested structs allowed) as JSON."""
-    record.coalesce(1).write.mode("overwrite").json(path)
+    record.repartition(1).write.mode("overwrite").json(path)
 
 
 def read_metadata(
@@ -102,14 +102,19 @@ def load_table(
     """Rename columns, number the rows 1..n in `order_by` order and register the result.
 
     `order_by` must be unique. The key comes from an ordered scan, so no task sees all rows.
-    With `save`, rows are appended to the table `name`; otherwise `name` becomes a temporary view.
+    With `save`, rows are appended to the table `name` and their keys go on after its largest;
+    otherwise `name` becomes a temporary view.
     """
     numbered = ordered_scan(df.withColumn("_one", F.lit(1).cast("long")), order_by, sums=["_one"])
     out = numbered.withColumnRenamed("cum__one", key).drop("_one").withColumnsRenamed(dict(rename))
+    spark = df.sparkSession
+    if name is not None and save and spark.catalog.tableExists(name):
+        last = spark.table(name).agg(F.max(key)).first()[0] or 0
+        out = out.withColumn(key, F.col(key) + F.lit(last))
     if columns is not None:
         missing = sorted(set(columns) - set(out.columns))
         if missing:
-            raise ValueError(f"The table does not match the expected SQL schema. Missing: {missing}")
+            raise ValueError(f"Columns of the expected SQL schema are not in the source: {missing}")
         out = out.select(*columns)
     if name is not None and save:
         out.write.mode("append").saveAsTable(name)

@@ -96,5 +96,9 @@ def test_attach_target_rejects_other_keys(spark):
     rows = _raw(spark)
     features = f.engineer_features(rows, ["id"])
     assert f.attach_target(features, rows, "id").where(F.col("subscribed").isNotNull()).count() == 200
-    with pytest.raises(PySparkException, match="not aligned"):
-        f.attach_target(features, rows.where("id > 0"), "id").collect()
+    with pytest.raises(ValueError, match="not aligned"):
+        f.attach_target(features, rows.where("id > 0"), "id")
+    with pytest.raises(ValueError, match="1 keys repeat"):
+        f.attach_target(features, rows.union(rows.where("id = 5")), "id")
+    with pytest.raises(ValueError, match="1 keys repeat"):
+        f.attach_target(features.union(features.where("id = 5")), rows, "id")

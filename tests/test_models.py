@@ -47,6 +47,29 @@ def test_preprocessing_learns_on_training_rows_only(spark, planted):
     assert abs(scaled[0]) < 1e-9 and scaled[1] == pytest.approx(1.0)
 
 
+def test_wide_categories_keep_all_slots(spark):
+    df = spark.range(1300).select(
+        "id", F.col("id").cast("double").alias("v"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("c"))
+    fitted = Pipeline(stages=m.preprocessing_stages(["v"], ["c"])).fit(df)
+    slots = fitted.transform(df).select(F.aggregate(
+        vector_to_array("features"), F.lit(0.0), lambda s, x: s + F.when(x == 1.0, 1.0).otherwise(0.0)).alias("ones"),
+        F.size(vector_to_array("features")).alias("width"))
+    assert slots.agg(F.min("ones"), F.min("width"), F.max("width")).first()[1:] == (1301, 1301)
+
+
+def test_fit_does_not_depend_on_input_partitions(spark, planted):
+    fitted = Pipeline(stages=m.preprocessing_stages()).fit(planted)
+    ready = fitted.transform(planted).select("id", "subscribed", "features").persist()
+    spec = m.ModelSpec("forest", "forest", True, FOREST)
+    sums = set()
+    for parts in (1, 4, 8):
+        for key in ("id", None):
+            model = m.fit_classifier(spec, ready.repartition(parts), "subscribed", key=key)
+            total = m.score(model, ready).agg(F.sum(F.round("score", 12))).first()[0]
+            sums.add((key, round(total, 6)))
+    assert len(sums) == 2
+
+
 def test_fills_of_all_folds_from_one_count(spark):
     rows = [(i, i % 3, float(i * i % 17) if i % 5 else None, "ab"[i % 2] if i % 7 else None) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, fold int, v double, c string")

@@ -135,3 +135,30 @@ def test_read_clean_checks_the_table(spark, tmp_path):
     spark.createDataFrame([(1, 0), (None, 1)], df.schema).write.parquet(f"{tmp_path}/nulls")
     with pytest.raises(ValueError, match="age_not_null"):
         files.read_clean(spark, f"{tmp_path}/nulls", ["age", "subscribed"])
+
+
+def test_checks_hold_whatever_is_read(spark):
+    from campaignlake.operators import segments as s
+    from campaignlake.operators import stats as st
+    from campaignlake.operators import evaluation as e
+
+    bad = spark.createDataFrame([(1, "yes"), (2, "maybe")], "id int, y string")
+    p = spark.createDataFrame([("a", -0.2), ("b", 0.5)], "name string, p double")
+    one = spark.createDataFrame([(1, "a", 1), (2, "a", 0)], "id int, f string, subscribed int")
+    curve = spark.createDataFrame([(0.5, 0.1, 0.1, 0.1)], "threshold double, f1 double, recall double, precision double")
+    frames = [
+        (q.encode_target(bad, "y"), "id"),
+        (st.benjamini_hochberg(p, "p"), "name"),
+        (st.chi_square_tests(one, ["f"], "subscribed", p_values=False), "feature"),
+        (st.mann_whitney_tests(one.where("subscribed = 1"), [st.GroupTest("t", "id")], "subscribed", False), "analysis_name"),
+        (st.wilson_interval(one.where("id > 9"), "subscribed"), "method"),
+        (st.proportion_differences(
+            one, [st.Comparison("c", "x", F.col("id") == 1, "y", F.col("id") == 1)], "subscribed"), "comparison"),
+        (s.best_scalable_segment(one, ["f"], "subscribed", 2.0), "feature"),
+        (e.select_threshold(curve, 0.9), "threshold"),
+    ]
+    for frame, other in frames:
+        with pytest.raises(Exception):
+            frame.count()
+        with pytest.raises(Exception):
+            frame.select(other).collect()

@@ -6,7 +6,6 @@ import __spark_entry__ as entry_point
 from tests.oracle import check, connect
 
 QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
-SLOW = {"cross_validation_summary", "best_candidate", "random_search", "threshold_selection"}
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +27,6 @@ def test_against_oracle(spark, oracle, sf_dir, name):
     assert check(spark, oracle, name, QUERIES[name], ORACLES[name], sf_dir) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_rows_only(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
