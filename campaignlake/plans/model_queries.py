@@ -223,6 +223,88 @@ def _out_of_fold_scores(spark, sf_dir):
     return _once("oof", spark, sf_dir, lambda: m.out_of_fold_scores(FOREST, train, KEY, TARGET, parallelism=4))
 
 
+_TRAIN_FOLDS = """numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY subscribed ORDER BY k, campaign_record_id) AS train_place,
+         count(*) OVER (PARTITION BY subscribed) AS train_rows
+  FROM divided WHERE split = 'train'
+), folded AS (
+  SELECT campaign_record_id, subscribed,
+         CAST(CASE WHEN train_place - 1 < r * (q + 1) THEN (train_place - 1) // (q + 1)
+                   ELSE r + (train_place - 1 - r * (q + 1)) // q END AS INTEGER) AS fold
+  FROM (SELECT *, train_rows // 5 AS q, train_rows % 5 AS r FROM numbered)
+)"""
+PRIOR = m.ModelSpec("dummy_prior", "prior")
+
+
+@register(
+    "prior_out_of_fold_scores",
+    oracle(
+        """SELECT campaign_record_id AS id, subscribed AS label, fold + 1 AS fold,
+                  round((sum(subscribed) OVER () - sum(subscribed) OVER (PARTITION BY fold))
+                        / CAST(count(*) OVER () - count(*) OVER (PARTITION BY fold) AS DOUBLE), 8) AS score
+        FROM folded""",
+        _ORDERED, _TRAIN_FOLDS,
+    ),
+)
+def _prior_out_of_fold_scores(spark, sf_dir):
+    """Every training row scored with the positive rate of the other folds, through the whole fold machinery."""
+    scored = m.out_of_fold_scores(PRIOR, parts(spark, sf_dir)[0], KEY, TARGET)
+    return scored.withColumn("score", F.round("score", 8))
+
+
+@register(
+    "prior_cross_validation",
+    oracle(
+        """SELECT fold + 1 AS fold, 0.5::DOUBLE AS roc_auc, round(avg(subscribed), 8) AS average_precision,
+                  0.0::DOUBLE + CASE WHEN rate >= 0.5 THEN 1 ELSE 0 END AS recall
+        FROM (SELECT *, (sum(subscribed) OVER () - sum(subscribed) OVER (PARTITION BY fold))
+                        / CAST(count(*) OVER () - count(*) OVER (PARTITION BY fold) AS DOUBLE) AS rate FROM folded)
+        GROUP BY fold, rate""",
+        _ORDERED, _TRAIN_FOLDS,
+    ),
+)
+def _prior_cross_validation(spark, sf_dir):
+    """Fold metrics of the prior: chance-level areas, and recall by the side of 0.5 that its rate lies on."""
+    folds, _ = m.cross_validate(parts(spark, sf_dir)[0], [PRIOR], KEY, TARGET)
+    return folds.select("fold", F.round("roc_auc", 8).alias("roc_auc"), F.round("average_precision", 8).alias(
+        "average_precision"), "recall")
+
+
+@register(
+    "prior_reload_check",
+    oracle(
+        """SELECT campaign_record_id, round(rate, 8) AS original_score, round(rate, 8) AS reloaded_score
+        FROM (SELECT campaign_record_id FROM divided WHERE split = 'test' ORDER BY campaign_record_id LIMIT 50),
+             (SELECT avg(subscribed) AS rate FROM divided WHERE split = 'train')""",
+        _ORDERED,
+    ),
+)
+def _prior_reload_check(spark, sf_dir):
+    """The prior fitted on all training rows, stored, read again and compared on the first test rows."""
+    train, test = parts(spark, sf_dir)
+    model, path = m.fit_final(PRIOR, train, TARGET, key=KEY), scratch_path(spark, "prior")
+    m.save_model(model, path, 0.5, TARGET, spark)
+    checked = m.check_reload(model, m.load_model(spark, path)[0], test, KEY)
+    return checked.withColumns({c: F.round(c, 8) for c in ("original_score", "reloaded_score")})
+
+
+@register(
+    "prior_permutation_importance",
+    oracle(
+        "SELECT feature, 0.0::DOUBLE AS importance_mean, 0.0::DOUBLE AS importance_std, "
+        "CAST(row_number() OVER (ORDER BY feature) AS INTEGER) AS importance_rank FROM (SELECT unnest(["
+        + ", ".join(f"'{c}'" for c in f.MODEL_FEATURES) + "]) AS feature)"
+    ),
+)
+def _prior_permutation_importance(spark, sf_dir):
+    """A model that reads no feature: shuffling any of them changes nothing."""
+    train, test = parts(spark, sf_dir)
+    prior = m.fit_final(PRIOR, train, TARGET, key=KEY)
+    out = m.permutation_importance(prior, test, KEY, TARGET)
+    rounded = {c: F.round(c, 10) + F.lit(0.0) for c in ("importance_mean", "importance_std")}
+    return out.withColumns(rounded).select("feature", "importance_mean", "importance_std", "importance_rank")
+
+
 @register("threshold_selection")
 def _threshold_selection(spark, sf_dir):
     """Out-of-fold scores, their curve, the chosen threshold, and both thresholds compared."""

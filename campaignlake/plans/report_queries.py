@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from campaignlake.plans.registry import oracle, register
 from campaignlake.plans.sql_reports import REPORTS, run_report, run_report_suite, suite_totals
 from campaignlake.session import scratch_path
-from campaignlake.sources.campaign import COLUMNS, KEY, SHORT_NAMES, STORED_NAMES, TARGET, build_campaign, campaign
+from campaignlake.sources.campaign import COLUMNS, COLUMNS, KEY, SHORT_NAMES, STORED_NAMES, TARGET, build_campaign, campaign
 from campaignlake.sources.campaign import short_campaign, table
 from campaignlake.sources import files
 
@@ -172,3 +172,22 @@ def _metadata_record(spark, sf_dir):
 @register("table_fingerprint")
 def _table_fingerprint(spark, sf_dir):
     return files.fingerprint(spark, f"{sf_dir}/orders.parquet")
+
+
+_COLUMN_TEXTS = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in COLUMNS)
+
+
+@register(
+    "content_fingerprint",
+    oracle(
+        f"""SELECT sha256(string_agg(d, chr(10) ORDER BY d)) AS sha256, CAST(sum(n) AS BIGINT) AS rows
+        FROM (SELECT sha256(string_agg(d, chr(10) ORDER BY d)) AS d, sum(n) AS n
+              FROM (SELECT lead, sha256(string_agg(d, chr(10) ORDER BY d)) AS d, count(*) AS n
+                    FROM (SELECT d, substr(d, 1, 6) AS lead
+                          FROM (SELECT sha256(concat_ws(chr(31), {_COLUMN_TEXTS})) AS d FROM campaign))
+                    GROUP BY lead) GROUP BY substr(lead, 1, 3))"""
+    ),
+)
+def _content_fingerprint(spark, sf_dir):
+    """Fingerprint of all rows and columns of the campaign table."""
+    return files.content_fingerprint(campaign(spark, sf_dir))

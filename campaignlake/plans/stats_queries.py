@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from campaignlake.functions.bands import sentinel_flag
 from campaignlake.operators import segments, stats
-from campaignlake.plans.registry import oracle, register
+from campaignlake.plans.registry import ORACLES, oracle, register
 from campaignlake.sources.campaign import KEY, TARGET, campaign, short_campaign, table
 
 FEATURES = ["job", "marital", "education", "default", "housing", "loan", "contact", "month", "poutcome",
@@ -352,6 +352,13 @@ def _spearman_matrix(spark, sf_dir):
     return out.withColumn("correlation", F.round("correlation", 8))
 
 
+@register("spearman_matrix_by_shuffle", ORACLES["spearman_matrix"])
+def _spearman_matrix_by_shuffle(spark, sf_dir):
+    """The same correlations with every rank looked up by a shuffle join, as for wide value ranges."""
+    out = stats.spearman_matrix(short_campaign(spark, sf_dir), [*NUMBERS, TARGET], KEY, small=0)
+    return out.withColumn("correlation", F.round("correlation", 8))
+
+
 @register(
     "target_correlations",
     oracle(

@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Rows a table may have to be broadcast; report tables stay far below.
-BROADCAST_ROWS = 1_000_000
+# Bytes that a table may have, by its row count and a width, to be broadcast.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 256
 
 
 def build_session(app_name: str = "campaignlake", master: str | None = None, **conf) -> SparkSession:
@@ -37,7 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    # `local` and `local[n]` run in one process; `local-cluster[...]` does not.
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share.")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="campaignlake-"))
     return context.getCheckpointDir().rstrip("/")
@@ -58,6 +60,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if it has at most `limit` rows, else without one."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def broadcast_checked(df: DataFrame, most: int = BROADCAST_BYTES, width: int = ROW_BYTES) -> DataFrame:
+    """`df` with a broadcast hint if its rows, at `width` bytes each, take at most `most`, else without one.
+
+    Rows are counted where they are; only the counts move. Without the hint, adaptive execution
+    picks the join from the sizes that it finds.
+    """
+    return F.broadcast(df) if df.count() * width <= most else df
