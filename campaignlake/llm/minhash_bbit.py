@@ -9,7 +9,9 @@ Only components are asked for, so a pair whose documents are already connected n
 therefore run in rounds: in the first, every document of a bucket meets the bucket's leader and tests
 its most similar leader; in the next ones, only pairs across components are listed, the most similar
 few of each document first, and in the last all that remain. A large group of copies collapses in the
-first rounds instead of becoming all its pairs, and no link between components stays untested.
+first rounds instead of becoming all its pairs, and no link between components stays untested. What the
+rounds list is cut further by an exact bound: shingles that no other document of the open buckets has
+cannot be common to two documents, which rules out the partners of heavily edited copies.
 """
 
 from __future__ import annotations
@@ -27,10 +29,10 @@ from .hashing import WordHasher, mix, runs
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-HASHES, BITS = 256, 4
+HASHES, BITS = 512, 4
 BANDS, BAND_ROWS = 32, 4
 # An estimate may fall short of the threshold by this much, five standard deviations at 0.8.
-MARGIN = 0.125
+MARGIN = 0.092
 # Members of a bucket that one task compares with each other; larger buckets are cut into tiles.
 TILE = 2048
 
@@ -137,15 +139,19 @@ def estimate(a: Column, b: Column) -> Column:
     return ((1 - total / F.lit(float(HASHES))) - chance) / (1 - chance)
 
 
-def _best_pairs(rows, width: int, least: float):
+def _best_pairs(rows, width: int, percent: int):
     """From the members of one tile: each one's most similar members of other components.
 
-    `rows` has columns rep, label, side (0 both, 1 left, 2 right) and signature. Compares every member
-    that is not of the tile's largest component with all others.
+    `rows` has columns rep, label, side (0 both, 1 left, 2 right), key (the bucket), signature, bands,
+    n_shingles and common (how many of them others have too). Compares every member that is not of the
+    tile's largest component with all others. A pair that shares several buckets is listed in the first.
     """
-    reps = rows["rep"].to_numpy()
+    reps, sizes, common = rows["rep"].to_numpy(), rows["n_shingles"].to_numpy(), rows["common"].to_numpy()
+    least = percent / 100 - MARGIN
     labels, side = rows["label"].to_numpy(), rows["side"].to_numpy()
     packed = np.stack([np.asarray(x, dtype=np.int64) for x in rows["signature"]]).view(np.uint64)
+    keys = np.stack([np.asarray(x, dtype=np.int64) for x in rows["bands"]])
+    own = int(np.flatnonzero(keys[0] == rows["key"].iloc[0])[0])
     values, counts = np.unique(labels, return_counts=True)
     main = values[counts.argmax()]
     every = np.uint64(int("1".rjust(BITS, "0") * (64 // BITS), 2))
@@ -155,6 +161,10 @@ def _best_pairs(rows, width: int, least: float):
         other = labels != labels[i]
         if side[i]:
             other &= side != side[i]
+        if own:
+            other &= ~(keys[:, :own] == keys[i, :own]).any(axis=1)
+        most = np.minimum(common, common[i])
+        other &= 100 * most >= percent * (sizes + sizes[i] - most)
         j = np.flatnonzero(other)
         if not len(j):
             continue
@@ -172,22 +182,38 @@ def _best_pairs(rows, width: int, least: float):
     return out
 
 
-def _across(members: DataFrame, labels: DataFrame, signatures: DataFrame, width: int, least: float) -> DataFrame:
-    """Candidate pairs (a, b) across components within the buckets, at most `width` per member and tile (0: all)."""
+def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, rep, label, tiles) of the buckets that hold several components."""
     named = members.join(labels, members["rep"] == labels["vertex"], "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("label")
     )
     mixed = named.groupBy("key").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")
     ).where("low < high").select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    tiled = named.join(mixed, "key").join(signatures, "rep").select(
-        "key", "rep", "label", "signature", "tiles", F.expr("int(pmod(xxhash64(rep), tiles))").alias("own")
+    return materialize(named.join(mixed, "key"), "open")
+
+
+def _common_counts(opened: DataFrame, sets: DataFrame) -> DataFrame:
+    """(rep, common): how many shingles of each document another document of the open buckets has too."""
+    listed = sets.join(opened.select("rep").distinct(), "rep").select("rep", F.explode("items").alias("item"))
+    single = listed.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("rep")).where("n = 1")
+    own = single.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    sizes = sets.select("rep", F.size("items").alias("n"))
+    return sizes.join(own, "rep", "left").select("rep", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
+
+
+def _across(opened: DataFrame, signatures: DataFrame, width: int, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) across components within the buckets, at most `width` per member and tile (0: all)."""
+    tiled = opened.join(signatures, "rep").select(
+        "key", "rep", "label", "signature", "bands", "n_shingles", "common", "tiles",
+        F.expr("int(pmod(xxhash64(rep), tiles))").alias("own")
     )
     # A tile is a pair of slices of a bucket; a member goes to the tiles of its own slice.
     spread = tiled.select(
-        "key", "rep", "label", "signature", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
+        "key", "rep", "label", "signature", "bands", "n_shingles", "common", "own",
+        F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"),
     ).select(
-        "rep", "label", "signature",
+        "key", "rep", "label", "signature", "bands", "n_shingles", "common",
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
         F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("tile"),
     )
@@ -200,7 +226,7 @@ def _across(members: DataFrame, labels: DataFrame, signatures: DataFrame, width:
         def flush():
             rows = pd.concat(held) if len(held) > 1 else held[0]
             if len(rows) > 1:
-                yield from _best_pairs(rows.reset_index(drop=True), width, least)
+                yield from _best_pairs(rows.reset_index(drop=True), width, percent)
 
         def emit(pairs):
             if pairs:
@@ -223,7 +249,7 @@ def _across(members: DataFrame, labels: DataFrame, signatures: DataFrame, width:
         if held:
             yield from emit(list(flush()))
 
-    placed = spread.repartition(parallel(members.sparkSession), "tile").sortWithinPartitions("tile", "rep")
+    placed = spread.repartition(parallel(opened.sparkSession), "tile").sortWithinPartitions("tile", "rep")
     return placed.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -255,7 +281,7 @@ def near_duplicates(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("key", "rep").alias("h"), "rep"))["rep"].alias("leader")
     ).where("n > 1")
     members = materialize(buckets.join(shared, "key").select("key", "rep", "leader"), "members")
-    signatures = reps.select(F.col("class").alias("rep"), "signature", "n_shingles")
+    signatures = reps.select(F.col("class").alias("rep"), "signature", "bands", "n_shingles")
 
     # Sets of the documents in shared buckets, the only ones that may have a link.
     wanted = members.select("rep").distinct().join(
@@ -274,8 +300,12 @@ def near_duplicates(
     tested = materialize(best, "pairs")
     links = materialize(_confirm(tested, sets, percent), "confirmed")
     labels = components(links, "a", "b")
-    for width in (3, 48, 0):
-        pairs = _across(members, labels, signatures, width, least).join(tested, ["a", "b"], "left_anti")
+    common = None
+    for width in (4, 0):
+        opened = _open_buckets(members, labels)
+        if common is None:  # later rounds open no further buckets
+            common = materialize(_common_counts(opened, sets), "common")
+        pairs = _across(opened, signatures.join(common, "rep"), width, percent).join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         found = materialize(_confirm(pairs, sets, percent), "confirmed")
         tested, links = tested.union(pairs), links.union(found)
