@@ -6,8 +6,9 @@ equal minimisers, so a window can only repeat where its minimiser does. The ligh
 (minimiser, document, place) decides which minimisers occur in several documents; only super-k-mers of
 those travel on, each as one packed string of its words, to their minimiser's bucket, and there sorting
 the windows' texts tells which document holds each first. Buckets of a minimiser that very many
-super-k-mers share are not formed: their windows go separately by a 128-bit digest, so that a passage
-found everywhere spreads over all tasks, with the smallest document found before the shuffle.
+super-k-mers share are not formed: equal strings among them become one with the range of their documents
+before the shuffle, and the windows of the different ones go separately by a 128-bit digest, so that a
+passage found everywhere spreads over all tasks.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from .common import grouped, materialize, parallel, worker_state
-from .hashing import WordHasher, mix, runs
+from .hashing import WordHasher, runs
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -87,13 +88,13 @@ def _split(text: bytes) -> list[bytes]:
     return text.split()
 
 
-def _packed(touched: DataFrame, window: int) -> DataFrame:
-    """Super-k-mers of the ordinary buckets, each as one string of its words."""
+def _packed(touched: DataFrame, window: int, hot: bool) -> DataFrame:
+    """Super-k-mers of the ordinary or the crowded buckets, each as one string of its words."""
     def run(batches):
         for batch in batches:
             for doc_id, h, text, kmers in zip(*[batch.column(c).to_pylist() for c in ["doc_id", "h", "text", "kmers"]]):
                 words = _split(text)
-                found = [k for k in kmers if not k["hot"]]
+                found = [k for k in kmers if k["hot"] == hot]
                 if found:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([k["minimiser"] for k in found], pa.int64()),
@@ -190,24 +191,54 @@ def _bucket_ranges(packed: DataFrame, window: int) -> DataFrame:
     return placed.mapInArrow(run, "doc_id long, h long, at long, n long")
 
 
-def _window_digests(touched: DataFrame, window: int) -> DataFrame:
-    """One row per window of the crowded buckets: a 128-bit digest, its document and place."""
+def _window_digests(strings: DataFrame, window: int) -> DataFrame:
+    """One row per different window of (k, lo, hi, words): a 128-bit digest, its places, the string's documents."""
     def run(batches):
         other = worker_state("words second", _second_hasher)
         for batch in batches:
-            for doc_id, h, text, kmers in zip(*[batch.column(c).to_pylist() for c in ["doc_id", "h", "text", "kmers"]]):
-                at = [np.arange(k["first"], k["first"] + k["windows"]) for k in kmers if k["hot"]]
-                if not at:
-                    continue
-                at = np.concatenate(at)
-                halves = [mix(runs(x.split([text])[3], window)[at] + np.uint64(1)) for x in (_hasher(), other)]
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(x.view(np.int64)) for x in halves], pa.array(np.full(len(at), doc_id), pa.int64()),
-                     pa.array(np.full(len(at), h), pa.int64()), pa.array(at, pa.int64())],
-                    names=["high", "low", "doc_id", "h", "at"],
-                )
+            texts = batch.column("words").to_pylist()
+            (_, _, _, one, bounds), (_, _, _, two, _) = _hasher().split(texts), other.split(texts)
+            high, low, places, row = [], [], [], []
+            for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+                x, y = runs(one[a:b], window), runs(two[a:b], window)
+                order = np.lexsort((y, x))
+                x, y = x[order], y[order]
+                first = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+                high.append(x[first])
+                low.append(y[first])
+                places += np.split(order, first[1:])
+                row.append(np.full(len(first), i))
+            if not places:
+                continue
+            cuts = np.cumsum([0, *map(len, places)]).astype(np.int32)
+            rows = pa.array(np.concatenate(row))
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(np.concatenate(x).view(np.int64)) for x in (high, low)],
+                 *[batch.column(c).take(rows) for c in ("k", "lo", "hi")],
+                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(places).astype(np.int64)))],
+                names=["high", "low", "k", "lo", "hi", "places"],
+            )
 
-    return touched.mapInArrow(_in_batches(run, 50_000), "high long, low long, doc_id long, h long, at long")
+    return strings.select("k", "lo", "hi", "words").mapInArrow(
+        run, "high long, low long, k string, lo long, hi long, places array<long>")
+
+
+def _crowded_cuts(touched: DataFrame, window: int) -> DataFrame:
+    """(doc_id, h, cuts) from the crowded buckets, one row per super-k-mer with words to remove."""
+    packed = materialize(_packed(touched, window, True).select(
+        F.md5("words").alias("k"), "doc_id", "h", "first", "words"), "crowded")
+    strings = packed.groupBy("k", "words").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    windows = materialize(_window_digests(strings, window), "windows")
+    earliest = windows.groupBy("high", "low").agg(
+        F.min("lo").alias("earliest"), F.max("hi").alias("last")).where("earliest < last")
+    # Windows of a string that some document of the string has to give up.
+    late = windows.join(earliest.select("high", "low", "earliest"), ["high", "low"]).where("earliest < hi")
+    by_string = late.groupBy("k").agg(F.collect_list(F.struct("places", "earliest")).alias("late"))
+    cut = F.expr(
+        "transform(flatten(transform(filter(late, x -> x.earliest < doc_id), x -> x.places)), "
+        f"j -> struct(first + j AS at, {window}L AS n))")
+    return packed.select("k", "doc_id", "h", "first").join(by_string, "k").select(
+        "doc_id", "h", cut.alias("cuts")).where(F.size("cuts") > 0)
 
 
 def _second_hasher() -> WordHasher:
@@ -247,13 +278,10 @@ def remove_repeats(
         source.join(kmers, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]), "touched"
     )
 
-    ranges = _bucket_ranges(_packed(touched, window), window)
-    windows = materialize(_window_digests(touched, window), "windows")
-    earliest = windows.groupBy("high", "low").agg(
-        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("high", "low", "lo")
-    crowded = windows.join(earliest, ["high", "low"]).where("doc_id > lo").select(
-        "doc_id", "h", "at", F.lit(window).cast("long").alias("n"))
-    cuts = ranges.union(crowded).groupBy("doc_id", "h").agg(F.collect_set(F.struct("at", "n")).alias("cuts"))
+    ranges = _bucket_ranges(_packed(touched, window, False), window).select(
+        "doc_id", "h", F.array(F.struct("at", "n")).alias("cuts"))
+    cuts = ranges.union(_crowded_cuts(touched, window)).groupBy("doc_id", "h").agg(
+        F.flatten(F.collect_list("cuts")).alias("cuts"))
 
     def cut(batches):
         for batch in batches:
