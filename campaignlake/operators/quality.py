@@ -11,7 +11,6 @@ from campaignlake.functions.bands import label_map
 from campaignlake.functions.numbers import fail_rows, percent, to_number
 from campaignlake.functions.text import normalize
 from campaignlake.operators.scan import quantiles, ranked_histogram
-from campaignlake.session import materialize
 
 # The raw campaign file.
 RAW_COLUMNS = [
@@ -207,7 +206,7 @@ def outlier_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     One pass counts the values of all columns; quartiles and outliers both come from these counts.
     """
-    ranked = materialize(ranked_histogram(df, {c: to_number(F.col(c), "coerce") for c in columns}), "ranked")
+    ranked = ranked_histogram(df, {c: to_number(F.col(c), "coerce") for c in columns})
     quartiles = quantiles(ranked, {"q1": ("n", 0.25), "q3": ("n", 0.75)})
     iqr = F.col("q3") - F.col("q1")
     fences = quartiles.select(

@@ -147,7 +147,7 @@ def _moments(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: count, mean, median, sample deviation, extremes, quartiles, adjusted skewness."""
-    ranked = materialize(ranked_histogram(df, columns), "ranked")
+    ranked = ranked_histogram(df, columns)
     quartiles = quantiles(ranked, {"q1": ("n", 0.25), "median": ("n", 0.5), "q3": ("n", 0.75)})
     joined = _moments(ranked, ["feature"]).join(F.broadcast(quartiles), "feature")
     return joined.select("feature", "count", "mean", "median", "std", "min", "q1", "q3", "max", "skewness")
@@ -173,7 +173,7 @@ def skewness_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def numeric_by_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """(feature, statistic): mean and median per class and their difference, long form."""
-    ranked = materialize(ranked_histogram(df, columns, target), "ranked")
+    ranked = ranked_histogram(df, columns, target)
     medians = quantiles(ranked, {"m0": ("negatives", 0.5), "m1": ("positives", 0.5)})
     v = F.col("value")
     means = ranked.groupBy("feature").agg(
@@ -219,7 +219,7 @@ def quantile_bands(df: DataFrame, column: str, target: str, q: int = 10) -> Data
 
     Equal values always share a band. The lower edge of the first band belongs to it.
     """
-    ranked = materialize(ranked_histogram(df, [column], target), "ranked")
+    ranked = ranked_histogram(df, [column], target)
     names = [f"e{i}" for i in range(q + 1)]
     edges = quantiles(ranked, {name: ("n", i / q) for i, name in enumerate(names)})
     rows = ranked.withColumn("_edges", edges.select(F.array_distinct(F.array(*names))).scalar())
@@ -294,7 +294,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
 
 def box_stats(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Per column and class: quartiles and whiskers, the extreme values inside the 1.5 * IQR fences."""
-    ranked = materialize(ranked_histogram(df, columns, by=[by]), "ranked")
+    ranked = ranked_histogram(df, columns, by=[by])
     keys = [by, "feature"]
     box = quantiles(ranked, {"q1": ("n", 0.25), "median": ("n", 0.5), "q3": ("n", 0.75)}, by=keys)
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))

@@ -109,7 +109,7 @@ def mann_whitney_tests(df: DataFrame, specs: Sequence[GroupTest], target: str, p
     tie and continuity correction. A test with an empty class fails the job.
     """
     values = {s.name: F.col(s.column) if s.rows is None else F.when(s.rows, F.col(s.column)) for s in specs}
-    ranked = materialize(ranked_histogram(df, values, target), "ranked")
+    ranked = ranked_histogram(df, values, target)
     medians = quantiles(
         ranked, {"subscriber_median": ("positives", 0.5), "non_subscriber_median": ("negatives", 0.5)}
     )
