@@ -304,8 +304,12 @@ def remove_repeats(
         cut, "doc_id long, h long, removed long, digest string, kept_text string")
     whole = sketch.select("doc_id", "h", "n_words", "kept_sha256")
     if with_text:
-        whole = source.join(whole.dropDuplicates(["doc_id", "h"]), ["doc_id", "h"]).select(
-            *whole.columns, F.regexp_replace(F.trim(F.translate(F.col("text").cast("string"), "\t\n\x0b\x0c\r", "     ")), " +", " ").alias("whole"))
+        spaced = F.translate(F.col("text").cast("string"), "\t\n\x0b\x0c\r", "     ")
+        counts = whole.dropDuplicates(["doc_id", "h"]).select(
+            F.col("doc_id").alias("id"), F.col("h").alias("hash"), "n_words", "kept_sha256")
+        whole = source.join(counts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("hash"))).select(
+            "doc_id", "h", "n_words", "kept_sha256",
+            F.regexp_replace(F.trim(spaced), " +", " ").alias("whole"))
     joined = whole.join(changed, ["doc_id", "h"], "left")
     texts = [F.coalesce("kept_text", "whole").alias("kept_text")] if with_text else []
     return joined.select(
