@@ -122,21 +122,27 @@ def ledger(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     """One row per document: its id, the counts in MEASURES and `failed_bits` of all rules.
 
     A null text counts as one without words. Repeated rows and rows without an id get rows of their
-    own; other columns are not read. An empty table gives an empty ledger.
+    own; other columns are not read. An empty table gives an empty ledger. Store it before filtering by its
+    columns: Spark pushes a filter below the measurements and computes them again inside it.
     """
     source = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     rows = measure(source).select("doc_id", *[F.col("ledger_measures")[m].alias(m) for m in MEASURES])
     return rows.withColumn("failed_bits", failed_bits())
 
 
-def failed_bits(measures: str = "") -> Column:
-    """Bits of the rules that fail; `measures` names a struct that holds the counts, if one does."""
-    bits = []
+def _bits_sql(prefix: str = "") -> str:
+    """The failure bits as an expression on counts that are named with `prefix` before them."""
+    parts = []
     for name, rule in RULES:
         for m in MEASURES:
-            rule = rule.replace(m, f"`{measures}`.{m}") if measures else rule
-        bits.append(F.when(F.expr(rule), F.lit(BITS[name])).otherwise(F.lit(0)))
-    return reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long")
+            rule = rule.replace(m, prefix + m)
+        parts.append(f"(CASE WHEN {rule} THEN {BITS[name]} ELSE 0 END)")
+    return f"CAST({' | '.join(parts)} AS BIGINT)"
+
+
+def failed_bits() -> Column:
+    """Bits of the rules that fail, from the columns in MEASURES."""
+    return F.expr(_bits_sql())
 
 
 def passes(bits: Column, policy: Policy) -> Column:
@@ -177,5 +183,9 @@ def quality_filter(docs: DataFrame, policy: Policy = STANDARD, text_column: str
     taken = docs.columns
     hold = next(n for n in (f"ledger_docs{'_' * k}" for k in range(len(taken) + 1)) if n not in taken)
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in taken]).alias(hold), docs[f"`{text_column}`"].alias("text"))
-    judged = measure(packed).where(passes(failed_bits("ledger_measures"), policy))
-    return judged.select(*[F.col(hold)[c].alias(c) for c in taken])
+    counted = measure(packed).select(hold, *[F.col("ledger_measures")[m].alias(m) for m in MEASURES])
+    judged = counted.select(hold, failed_bits().alias("failed_bits"))
+    # A generator of one row or none, not a filter: Spark would push a filter below the measurements and
+    # so compute them again for every count that a rule mentions.
+    one = F.when(passes(F.col("failed_bits"), policy), F.array(hold))
+    return judged.select(F.explode(one).alias("row")).select(*[F.col("row")[c].alias(c) for c in taken])
