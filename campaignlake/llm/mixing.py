@@ -98,18 +98,20 @@ def mix(
         *row_key(id_column, text_column),
         *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()],
         F.size(words(text_or_empty(text_column))).cast("long").alias("n_tokens"),
-    ).dropDuplicates(["key_id", "key_text"]), "counted")
+    ).withColumn("leaf", F.concat_ws("\x1f", *names)).dropDuplicates(["key_id", "key_text"]), "counted")
     leaves = materialize(counted.groupBy(*names).agg(F.sum("n_tokens").alias("supply")), "leaves")
     if budget is None:
         total = leaves.agg(F.sum("supply")).first()[0] or 0
         budget = int(total * round(budget_share * 1_000_000)) // 1_000_000
     plan = leaf_budgets(leaves, names, weights, budget, max_epochs).select(
-        *names, F.expr("if(supply > 0, budget div supply, 0)").alias("passes"),
+        F.concat_ws("\x1f", *names).alias("leaf"), F.expr("if(supply > 0, budget div supply, 0)").alias("passes"),
         F.expr("if(supply > 0, budget % supply, 0)").alias("rest"),
     )
     plan = materialize(plan, "plan")
     order = digest(seed, F.col("passes"), "key_id")
-    rows = counted.join(plan, names).withColumn("place", order).withColumn("slot", F.substring("place", 1, PREFIX))
+    # Joins go by leaf and by its levels in turn, so that no later grouping leans on a join's placement of
+    # rows: a join may then split a leaf that holds a large share of all rows.
+    rows = counted.join(plan, "leaf").withColumn("place", order).withColumn("slot", F.substring("place", 1, PREFIX))
 
     # Token sums by leaf and digest prefix, at most 16 ** PREFIX rows per leaf.
     sums = rows.where("rest > 0").groupBy(*names, "slot", "rest").agg(F.sum("n_tokens").alias("n"))
@@ -118,7 +120,7 @@ def mix(
     ends = ends.select(*names, F.col("slot").alias("last"), (F.col("upto") - F.col("n")).alias("ahead"))
     placed = rows.join(ends, names, "left")
 
-    inside = Window.partitionBy(*names).orderBy("place", "key_id", "key_text").rowsBetween(
+    inside = Window.partitionBy("leaf", "slot").orderBy("place", "key_id", "key_text").rowsBetween(
         Window.unboundedPreceding, 0)
     border = placed.where("slot = last").withColumn("sofar", F.col("ahead") + F.sum("n_tokens").over(inside))
     border = border.withColumn("more", F.col("sofar") <= F.col("rest")).drop("sofar")
