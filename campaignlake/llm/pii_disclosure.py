@@ -1,10 +1,11 @@
 """Personal data and the terms that give it away.
 
 Base kinds are found by pattern. Information-theoretic sanitisation adds to them: the corpus tells how
-strongly a term near an identifier reveals it. With p estimated from document counts, a term t discloses
+strongly a term in an identifier's documents reveals it. With p estimated from document counts, a term t discloses
 an identifier e by PMI(t; e) / IC(e) = log(p(e|t) / p(e)) / -log p(e), which is 0 for unrelated terms and
-1 for a term that occurs only with e. Terms beyond one threshold are generalised in the identifier's
-context, beyond a higher one removed.
+1 for a term that occurs only with e. Terms beyond one threshold are generalised, beyond a higher one
+removed, at all their places in all documents. Whole documents count, however far a term is from the
+identifier; terms too frequent to reach the threshold are left out before they are paired.
 
 Only DataFrame functions are used. Patterns are written so that no text takes more than linear time:
 possessive runs, and a look-behind that starts a match only where a run starts (or the last match ended),
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import broadcast_checked
 from .common import materialize, row_key, text_or_empty
 
 # Kinds of personal data in the order in which they are listed, and their patterns.
@@ -38,18 +40,17 @@ HINTS = {
 REMOVED, GENERALISED = "removed", "generalised"
 ORDER = {k: i for i, k in enumerate([*KINDS, REMOVED, GENERALISED])}
 
-TERM = r"(?<=\s)\p{L}{2,}(?=[\s.,;:!?])"
+# A run of letters, whatever stands around it.
+TERM = r"(?<![\p{L}\p{M}])\p{L}[\p{L}\p{M}]++"
 
 
 @dataclass(frozen=True)
 class Disclosure:
     """Settings of the disclosure estimate.
 
-    `context` is how many characters around an identifier are looked at; `support` how many different
-    texts must hold a term next to an identifier before its estimate counts.
+    `support` is how many different texts must hold a term and an identifier before the estimate counts.
     """
 
-    context: int = 80
     support: int = 3
     generalise: float = 0.85
     remove: float = 0.95
@@ -83,11 +84,11 @@ def _valid(kind: Column, value: Column) -> Column:
     )
 
 
-def base_spans(keyed: DataFrame, context: int) -> DataFrame:
+def base_spans(keyed: DataFrame) -> DataFrame:
     """One row per base span of the rows (key_id, key_text, text).
 
     Places come from the lengths of the matches and of the stretches between them, summed up per text and
-    kind, so no text is searched twice. `before` and `after` hold `context` characters around the span.
+    kind, so no text is searched twice.
     """
     hits = {
         k: F.when(F.col("text").rlike(HINTS[k]), F.regexp_extract_all("text", F.lit(PATTERNS[k]), F.lit(0)))
@@ -104,58 +105,63 @@ def base_spans(keyed: DataFrame, context: int) -> DataFrame:
     rows = found.select("key_id", "key_text", F.explode(per_kind).alias("x")).select("key_id", "key_text", "x.*")
     rows = rows.select(
         "key_id", "key_text", "kind",
-        F.posexplode(F.arrays_zip("hits", "gaps", F.expr("slice(gaps, 2, size(gaps))").alias("next"))).alias("at", "z"),
+        F.posexplode(F.arrays_zip("hits", "gaps")).alias("at", "z"),
     ).where("z.hits IS NOT NULL").select(
         "key_id", "key_text", "kind", "at", F.col("z.hits").alias("value"),
         F.length("z.gaps").cast("long").alias("gap"),
-        F.right("z.gaps", F.lit(context)).alias("before"), F.left("z.next", F.lit(context)).alias("after"),
     ).dropDuplicates(["key_id", "key_text", "kind", "at"])
     upto = Window.partitionBy("key_id", "key_text", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(upto)
     placed = rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("value"))
     return placed.where(_valid(F.col("kind"), F.col("value"))).select(
-        "key_id", "key_text", "kind", "start", "end", "value", "before", "after")
-
-
-def _context_terms(spans: DataFrame) -> DataFrame:
-    """One row per term next to a span: the identifier, the lower-cased term and its place."""
-    rows = spans.select(
-        "key_id", "key_text", F.concat_ws(":", "kind", F.lower("value")).alias("entity"),
-        F.explode(F.array(
-            F.struct((F.col("start") - F.length("before")).alias("from"), F.col("before").alias("side")),
-            F.struct(F.col("end").alias("from"), F.col("after").alias("side")),
-        )).alias("s"),
-    ).select("key_id", "key_text", "entity", "s.*")
-    cut = rows.select(
-        "key_id", "key_text", "entity", "from", F.regexp_extract_all("side", F.lit(TERM), F.lit(0)).alias("hits"),
-        F.split("side", TERM, -1).alias("gaps"),
-    )
-    # At most `context` characters a side, so the lengths ahead may be summed anew for each term.
-    ahead = F.length(F.array_join(F.expr("slice(gaps, 1, at + 1)"), "")) + F.when(
-        F.col("at") > 0, F.length(F.array_join(F.expr("slice(hits, 1, at)"), ""))).otherwise(0)
-    return cut.select("key_id", "key_text", "entity", "from", "hits", "gaps", F.posexplode("hits").alias("at", "hit")).select(
-        "key_id", "key_text", "entity", F.lower("hit").alias("term"),
-        (F.col("from") + ahead).cast("long").alias("start"),
-        (F.col("from") + ahead + F.length("hit")).cast("long").alias("end"),
-    )
+        "key_id", "key_text", "kind", "start", "end", "value")
+
+
+def _without_addresses(text: str) -> Column:
+    """The text with blanks for the only base kind that holds letters; all places stay."""
+    pattern = F.lit(PATTERNS["email"])
+    pieces = F.zip_with(
+        F.split(text, PATTERNS["email"], -1), F.regexp_extract_all(text, pattern, F.lit(0)),
+        lambda gap, hit: F.concat(gap, F.coalesce(F.repeat(F.lit(" "), F.length(hit)), F.lit(""))))
+    return F.when(F.col(text).rlike(HINTS["email"]), F.array_join(pieces, "")).otherwise(F.col(text))
+
+
+def _terms_of(text: str) -> Column:
+    """The distinct lower-cased terms of a text."""
+    hits = F.regexp_extract_all(_without_addresses(text), F.lit(TERM), F.lit(0))
+    return F.array_distinct(F.transform(hits, F.lower))
 
 
-def disclosing_terms(keyed: DataFrame, spans: DataFrame, terms: DataFrame, settings: Disclosure) -> DataFrame:
+def disclosing_terms(keyed: DataFrame, spans: DataFrame, settings: Disclosure) -> DataFrame:
     """(entity, term, action) of the terms that reveal an identifier beyond a threshold.
 
-    All counts are documents of the whole corpus; `support` counts different texts, so that copies of one
-    text do not make an estimate trustworthy.
+    All counts are rows of the whole corpus; `support` counts different texts, so that copies of one
+    text do not make an estimate trustworthy. As n_te is at most n_e, a term can reach a ratio r only if
+    n_t <= n_all ** (1 - r) * n_e ** r, so more frequent terms are not paired with the identifier.
     """
     document = ["key_id", "key_text"]
+    least = min(settings.generalise, settings.remove)
+    n_all = keyed.count()
     entities = spans.select(*document, F.concat_ws(":", "kind", F.lower("value")).alias("entity")).distinct()
-    n_entity = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    together = terms.select(*document, "entity", "term").distinct().groupBy("entity", "term", "key_text").agg(
-        F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(
-        F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= settings.support)
-    held = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?<!\S)\p{L}{2,}(?=[\s.,;:!?]|$)"), F.lit(0)))
-    everywhere = keyed.select(F.explode(held).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    total = keyed.agg(F.count(F.lit(1)).alias("n_all")).scalar()
-    rated = together.join(n_entity, "entity").join(everywhere, "term").withColumn("n_all", total)
+    held = keyed.select(*document).join(entities, document)
+    n_entity = held.groupBy("entity", "key_text").agg(F.count(F.lit(1)).alias("n")).groupBy("entity").agg(
+        F.sum("n").alias("n_e"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= settings.support)
+    # Rounded up, as the exact ratio decides in the end.
+    reach = F.pow(F.lit(float(n_all)), F.lit(1 - least)) * F.pow(F.col("n_e").cast("double"), F.lit(least)) * (1 + 1e-9)
+    rateable = materialize(
+        n_entity.select("entity", "n_e", F.when(F.lit(least > 0), reach).otherwise(F.lit(float("inf"))).alias("reach")), "entities")
+    most = rateable.agg(F.max("reach")).first()[0]
+    everywhere = keyed.select(F.explode(_terms_of("text")).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("n_t")).where(F.col("n_t").between(settings.support, F.lit(0.0 if most is None else most)))
+    everywhere = materialize(everywhere, "everywhere")
+    # Documents with an identifier that can be rated, and their terms that are rare enough for one.
+    of = materialize(entities.join(rateable, "entity"), "of")
+    texts = keyed.join(of.select(*document).distinct(), document, "left_semi")
+    terms = texts.select(*document, F.explode(_terms_of("text")).alias("term")).join(everywhere, "term")
+    together = terms.join(of, document).where("n_t <= reach").groupBy(
+        "entity", "term", "key_text", "n_t", "n_e").agg(F.count(F.lit(1)).alias("n")).groupBy(
+        "entity", "term", "n_t", "n_e").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts"))
+    rated = together.where(F.col("texts") >= settings.support).withColumn("n_all", F.lit(n_all))
     gain = F.log(F.col("n_te") * F.col("n_all") / (F.col("n_t").cast("double") * F.col("n_e")))
     content = F.log(F.col("n_all") / F.col("n_e").cast("double"))
     rated = rated.withColumn("ratio", F.when(content > 0, gain / content).otherwise(0.0))
@@ -163,6 +169,25 @@ def disclosing_terms(keyed: DataFrame, spans: DataFrame, terms: DataFrame, setti
     return rated.select("entity", "term", action.alias("action"), "ratio").where("action IS NOT NULL")
 
 
+def term_spans(keyed: DataFrame, marked: DataFrame) -> DataFrame:
+    """(key_id, key_text, kind, start, end) of all places of the terms of `marked` (term, strong)."""
+    document = ["key_id", "key_text"]
+    marked = broadcast_checked(marked)
+    found = keyed.select(*document, F.explode(_terms_of("text")).alias("term")).join(marked, "term")
+    holders = found.select(*document).distinct()
+    blank = keyed.join(holders, document, "left_semi").dropDuplicates(document).select(
+        *document, _without_addresses("text").alias("text")).select(
+        *document, F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("hits"), F.split("text", TERM, -1).alias("gaps"))
+    lengths = F.zip_with("hits", F.expr("slice(gaps, 1, size(hits))"), lambda hit, gap: F.struct(
+        F.lower(hit).alias("term"), F.length(hit).alias("size"), F.length(gap).alias("gap")))
+    rows = blank.select(*document, F.posexplode(lengths).alias("at", "z")).select(*document, "at", "z.*")
+    upto = Window.partitionBy(*document).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.withColumn("end", F.sum((F.col("gap") + F.col("size")).cast("long")).over(upto))
+    named = F.when(F.col("strong"), REMOVED).otherwise(GENERALISED)
+    return placed.join(marked, "term").select(
+        *document, named.alias("kind"), (F.col("end") - F.col("size")).alias("start"), "end")
+
+
 def find_spans(docs: DataFrame, settings: Disclosure = Disclosure(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All spans (key_id, key_text, kind, start, end): base kinds and disclosing terms.
 
@@ -170,15 +195,12 @@ def find_spans(docs: DataFrame, settings: Disclosure = Disclosure(), id_column:
     smallest long. An empty table has none. A document's spans are one task's work, nothing larger is.
     """
     keyed = docs.select(*row_key(id_column, text_column), text_or_empty(text_column).alias("text"))
-    spans = materialize(base_spans(keyed, settings.context), "spans")
-    terms = materialize(_context_terms(spans), "terms")
-    marked = disclosing_terms(keyed, spans, terms, settings)
-    added = terms.join(marked, ["entity", "term"]).groupBy("key_id", "key_text", "start", "end").agg(
-        # A term next to several identifiers takes the stronger action.
-        F.max(F.col("action") == REMOVED).alias("strong"))
-    named = F.when(F.col("strong"), REMOVED).otherwise(GENERALISED)
+    spans = materialize(base_spans(keyed), "spans")
+    # A term that reveals several identifiers takes the stronger action.
+    marked = materialize(disclosing_terms(keyed, spans, settings).groupBy("term").agg(
+        F.max(F.col("action") == REMOVED).alias("strong")), "marked")
     columns = ["key_id", "key_text", "kind", "start", "end"]
-    return materialize(spans.select(*columns).union(added.withColumn("kind", named).select(*columns)), "found")
+    return materialize(spans.select(*columns).union(term_spans(keyed, marked).select(*columns)), "found")
 
 
 def kind_order(kind: Column) -> Column:

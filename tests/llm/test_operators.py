@@ -217,6 +217,25 @@ def test_disclosing_terms(spark):
     assert "zorblax" not in clean[1001].text and "[EMAIL]" in clean[1001].text and clean[1001].key_id == "z"
 
 
+def test_disclosing_terms_of_whole_documents(spark):
+    rng = random.Random(21)
+    rows = [(i, sentence(rng, 40) + " end") for i in range(200)]
+    rows += [(1000 + i, f'Quorvane {sentence(rng, 60)} from jo@x.org, {sentence(rng, 60)} "wexlorn" and (Plimsot) QUORVANE')
+             for i in range(5)]
+    rows += [(3000, "see [quorvane]")]
+    clean = {r.doc_id: r.text.lower() for r in pii_disclosure.sanitised(frame(spark, rows)).collect()}
+    for i, text in rows:
+        for term in ("quorvane", "wexlorn", "plimsot"):
+            assert term not in clean[i], (i, term)
+        if i < 1000:
+            assert clean[i] == text
+    found = {r.doc_id: r for r in pii_disclosure.report(frame(spark, rows)).collect()}
+    for i, text in rows[200:]:
+        marked = Counter(text[int(a) : int(b)].lower() for kind, a, b in (s.split(":") for s in found[i].spans.split(","))
+                         if kind in ("removed", "generalised"))
+        assert marked["quorvane"] == text.lower().count("quorvane") and "org" not in marked
+
+
 def test_sanitised_texts_hold_no_identifier(docs, rows):
     clean = pii_disclosure.sanitised(docs)
     assert clean.schema == docs.schema
