@@ -176,92 +176,102 @@ class Lengths:
 
     def __init__(self, counts: list[int]):
         self.counts = counts
-        self.below = list(range(len(counts)))  # union-find to the next available length
-
-    def copy(self) -> "Lengths":
-        other = Lengths.__new__(Lengths)
-        other.counts, other.below = self.counts[:], self.below[:]
-        return other
+        self.mask = sum(1 << k for k, n in enumerate(counts) if k and n)  # one bit for each available length
 
     def at_most(self, size: int) -> int:
         """Largest length with documents left at or below `size`, 0 if none."""
-        root = size
-        while root and not self.counts[root]:
-            root = self.below[root] if self.below[root] != root else root - 1
-        while size and size != root and not self.counts[size]:
-            self.below[size], size = root, (self.below[size] if self.below[size] != size else size - 1)
-        return root
-
-    def take(self, parts: dict[int, int]) -> int:
-        """Use a filling as often as the counts allow; the number of times."""
-        times = min(self.counts[length] // k for length, k in parts.items())
+        return max(0, (self.mask & ((2 << size) - 1)).bit_length() - 1) if size > 0 else 0
+
+    def most(self, parts: dict[int, int]) -> int:
+        """How often the counts allow a filling."""
+        return min(self.counts[length] // k for length, k in parts.items())
+
+    def use(self, parts: dict[int, int], times: int) -> None:
+        """Take the documents of a filling `times` times, or give them back if `times` is negative."""
         for length, k in parts.items():
             self.counts[length] -= k * times
-        return times
+            if self.counts[length]:
+                self.mask |= 1 << length
+            else:
+                self.mask &= ~(1 << length)
+
+    def fill(self, room: int, top: int) -> int:
+        """What lengths up to `top` can fill of `room` at most."""
+        total, size = 0, self.at_most(min(room, top))
+        while size and total < room:
+            total += size * self.counts[size]
+            size = self.at_most(size - 1)
+        return min(total, room)
 
 
 def best_fit(lengths: Lengths, first: int, room: int) -> dict[int, int]:
     """The largest document, then always the largest that still fits."""
-    parts = {first: 1}
-    while room and (size := lengths.at_most(room)):
+    parts, size = {first: 1}, lengths.at_most(room)
+    while size:
         k = min(lengths.counts[size] - parts.get(size, 0), room // size)
-        if k <= 0:
-            size = next((x for x in range(size - 1, 0, -1) if lengths.counts[x] > parts.get(x, 0)), 0)
-            if not size:
-                break
-            k = min(lengths.counts[size] - parts.get(size, 0), room // size)
-        parts[size] = parts.get(size, 0) + k
-        room -= k * size
+        if k > 0:
+            parts[size] = parts.get(size, 0) + k
+            room -= k * size
+        size = lengths.at_most(min(room, size - 1))
     return parts
 
 
-def completions(lengths: Lengths, first: int, room: int, waste: int, nodes: int, keep: int) -> list[dict[int, int]]:
-    """Undominated fillings around a document of length `first`, least waste first.
+def completions(
+    lengths: Lengths, first: int, room: int, waste: int, nodes: int, keep: int,
+) -> tuple[list[dict[int, int]], int, bool]:
+    """Undominated fillings around a document of length `first` that waste at most `waste`, least waste first.
 
-    Sizes are tried in falling order. A filling is dominated, and left out, when one of its sizes could
-    give way to a larger one that is still available and fits: that one does no worse later on. A branch
-    is cut when the documents left for it cannot bring its waste to the best found or within `waste`.
+    Sizes are tried in falling order, each with every multiplicity from the largest down to none. A filling
+    is dominated, and left out, when one of its sizes could give way to a larger one that is still available
+    and fits, or another document still fits: that does no worse later on. A branch is cut when the
+    documents left for it cannot bring its waste within `waste`. Also returns the nodes visited, and whether
+    these are all such fillings: the walk stops after `nodes` nodes or `keep` fillings without waste.
     """
     found: list[tuple[int, tuple[tuple[int, int], ...]]] = []
-    limit = [nodes]
-    best = [waste + 1]
-
-    def walk(room: int, top: int, parts: list[tuple[int, int]]) -> None:
-        limit[0] -= 1
-        size = lengths.at_most(min(room, top)) if room else 0
-        used = 1 if size == first else 0
-        if size and lengths.counts[size] - used <= 0:
+    counts, spent, full = lengths.counts, 0, 0
+
+    def left(size: int, taken: dict[int, int]) -> bool:
+        return counts[size] > taken.get(size, 0) + (size == first)
+
+    def walk(room: int, top: int, parts: list[tuple[int, int]]) -> bool:
+        nonlocal spent, full
+        if spent >= nodes or full >= keep:
+            return False
+        spent += 1
+        size = lengths.at_most(min(room, top))
+        if size == first and counts[size] == 1:
             size = lengths.at_most(size - 1)
         if not size:
-            if room < best[0] or (room == best[0] and len(found) < keep):
-                # Dominance: no size may be replaced by a larger available one within the room left.
-                taken = dict(parts)
-                for length, _ in parts:
-                    larger = lengths.at_most(min(length + room, first)) if room else length
-                    if larger > length and lengths.counts[larger] > taken.get(larger, 0) + (larger == first):
-                        return
-                found.append((room, tuple(parts)))
-                best[0] = min(best[0], room)
-            return
-        tried = 0
-        while size and limit[0] > 0 and tried < 24:
-            most = min(lengths.counts[size] - (1 if size == first else 0), room // size)
-            if most > 0:
-                walk(room - most * size, size - 1, parts + [(size, most)])
-                if best[0] == 0 and len(found) >= keep:
-                    return
-                tried += 1
+            taken = dict(parts)
+            for length in [0, *taken]:
+                larger = lengths.at_most(min(length + room, first))
+                while larger > length and not left(larger, taken):
+                    larger = lengths.at_most(larger - 1)
+                if larger > length:
+                    return True
+            found.append((room, tuple(parts)))
+            full += room == 0
+            return True
+        while size:
+            for k in range(min(counts[size] - (size == first), room // size), 0, -1):
+                rest = room - k * size
+                if rest - lengths.fill(rest, size - 1) > waste:
+                    continue
+                if not walk(rest, size - 1, parts + [(size, k)]):
+                    return False
             size = lengths.at_most(size - 1)
+            if room - lengths.fill(room, size) > waste:
+                break
+        return True
 
-    walk(room, first, [])
-    found.sort(key=lambda x: x[0])
+    whole = walk(room, first, []) if room <= waste or lengths.fill(room, first) >= room - waste else True
     out = []
-    for _, parts in found[:keep]:
-        whole = {first: 1}
+    for _, parts in sorted((x for x in found if x[0] <= waste), key=lambda x: x[0]):
+        filling = {first: 1}
         for length, k in parts:
-            whole[length] = whole.get(length, 0) + k
-        out.append(whole)
-    return out
+            filling[length] = filling.get(length, 0) + k
+        out.append(filling)
+    return out, spent, whole
 
 
 def finish(lengths: Lengths, capacity: int) -> list[Filling]:
@@ -269,19 +279,24 @@ def finish(lengths: Lengths, capacity: int) -> list[Filling]:
     out = []
     while first := lengths.at_most(capacity):
         parts = best_fit(lengths, first, capacity - first)
-        out.append(Filling(tuple(sorted(parts.items(), reverse=True)), lengths.take(parts)))
+        times = lengths.most(parts)
+        lengths.use(parts, times)
+        out.append(Filling(tuple(sorted(parts.items(), reverse=True)), times))
     return out
 
 
 def plan_packing(
     counts: dict[int, int], capacity: int = 4096, nodes: int = 400, branches: int = 2, restarts: int = 8,
+    budget: int = 200_000,
 ) -> list[Filling]:
     """Fillings that hold every document, in as few sequences as the search finds.
 
-    Bin completion: the incumbent is the best-fit packing. The search then completes the sequence of
-    the largest document left with its least wasteful undominated filling, keeps up to `branches`
-    choices at each step for later, drops a branch when its waste so far exceeds what would improve on
-    the incumbent, and ends at the lower bound or after `restarts` finished branches.
+    Bin completion: the incumbent is the best-fit packing. The search completes the sequence of the
+    largest document left with each undominated filling in turn, least waste first, as often as the counts
+    allow or once, and drops a branch when its waste exceeds what would improve on the incumbent. It ends
+    at the lower bound, or when it has been through all branches, which proves the incumbent best. A pass
+    looks at `nodes` nodes for a sequence and `restarts` finished branches at most; as long as that cut
+    something off, another pass has four times as many, until `budget` nodes were visited in all.
     """
     start = [0] * (capacity + 1)
     for length, n in counts.items():
@@ -289,31 +304,58 @@ def plan_packing(
     total, bound = sum(k * n for k, n in enumerate(start)), lower_bound(np.array(start, dtype=np.int64), capacity)
     best = finish(Lengths(start[:]), capacity)
     size = sum(f.times for f in best)
-    stack: list[tuple[Lengths, list[Filling], int, dict[int, int] | None]] = [(Lengths(start[:]), [], 0, None)]
-    ended = 0
-    while stack and size > bound and ended < restarts:
-        lengths, done, wasted, forced = stack.pop()
+    visited = 0
+    while size > bound:
+        lengths, ended, cut = Lengths(start[:]), 0, False
+        # One frame for each step: the choices still open there, and the one in use.
+        frames: list[list] = []
+        wasted = 0
         while True:
             allowed = (size - 1) * capacity - total - wasted
-            if allowed < 0:
-                break
             first = lengths.at_most(capacity)
-            if not first:
-                best, size = done, sum(f.times for f in done)
+            choices: list[tuple[dict[int, int], int, int]] = []
+            if allowed >= 0 and first:
+                found, spent, whole = completions(lengths, first, capacity - first, allowed, nodes, branches)
+                visited += spent + 1
+                cut |= not whole
+                if not found and not whole:
+                    found = [best_fit(lengths, first, capacity - first)]
+                once = []
+                for parts in found:
+                    waste = capacity - sum(length * k for length, k in parts.items())
+                    times = min(lengths.most(parts), allowed // waste if waste else total)
+                    if times:
+                        choices.append((parts, times, waste))
+                    if times > 1:
+                        once.append((parts, 1, waste))
+                choices = [*once[::-1], *choices[::-1]]
+            elif allowed >= 0:
+                best = [Filling(tuple(sorted(f[1][0].items(), reverse=True)), f[1][1]) for f in frames]
+                size = sum(f.times for f in best)
+            ended += not choices
+            frames.append([choices, None])
+            if size <= bound:
+                break
+            if ended >= restarts or (ended and visited >= budget):
+                cut = True
+                break
+            while frames:
+                open_, used = frames[-1]
+                if used:
+                    lengths.use(used[0], -used[1])
+                    wasted -= used[1] * used[2]
+                    frames[-1][1] = None
+                if open_:
+                    break
+                frames.pop()
+            if not frames:
                 break
-            if forced is None:
-                choices = completions(lengths, first, capacity - first, allowed, nodes, branches)
-                if not choices:
-                    choices = [best_fit(lengths, first, capacity - first)]
-                if len(choices) > 1 and len(stack) < restarts:
-                    stack.append((lengths.copy(), done[:], wasted, choices[1]))
-                forced = choices[0]
-            waste = capacity - sum(length * k for length, k in forced.items())
-            times = lengths.take(forced)
-            done.append(Filling(tuple(sorted(forced.items(), reverse=True)), times))
-            wasted += waste * times
-            forced = None
-        ended += 1
+            used = frames[-1][1] = frames[-1][0].pop()
+            lengths.use(used[0], used[1])
+            wasted += used[1] * used[2]
+        if not cut or visited >= budget:
+            break
+        nodes, branches, restarts = 4 * nodes, 4 * branches, 4 * restarts
     return best
 
 

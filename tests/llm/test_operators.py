@@ -63,6 +63,16 @@ def test_plans_against_exhaustive_search():
     assert check_plan({20: 7, 5: 0}, 20) == 7
 
 
+def test_plans_try_all_multiplicities():
+    assert check_plan({11: 2000, 4: 2000, 3: 4000}, 21) == 2000
+    assert check_plan({11: 2, 4: 2, 3: 4}, 21) == 2
+    rng = random.Random(31)
+    for _ in range(150):
+        few = [rng.randint(1, 20) for _ in range(3)]
+        sizes = [rng.choice(few) if rng.random() < 0.6 else rng.randint(1, 20) for _ in range(rng.randint(1, 11))]
+        assert check_plan(Counter(sizes), 20) == fewest(sizes, 20), sizes
+
+
 def test_plans_of_many_documents():
     rng = np.random.default_rng(5)
     for low, high in ((1, 4096), (900, 3000), (1, 300)):
