@@ -158,3 +158,19 @@ def test_donors_are_permutations(spark):
 def test_contracts(spark):
     assert m.preprocessing_contract(spark).count() == 2
     assert f.feature_contract(spark).count() == 19
+
+
+def test_registered_search_draws_from_the_whole_space(spark, monkeypatch):
+    from campaignlake.plans import model_queries as q
+
+    seen = {}
+
+    def search(df, key, target, space=m.SEARCH_SPACE, n=16, k=5, **options):
+        seen.update(space=space, n=n, k=k)
+        return df
+
+    monkeypatch.setattr(q, "parts", lambda spark, sf_dir: (spark.range(1), None))
+    monkeypatch.setattr(q, "materialize", lambda df, name: df)
+    monkeypatch.setattr(q.m, "random_search", search)
+    q.search(spark, "whole space")
+    assert seen == {"space": m.SEARCH_SPACE, "n": 16, "k": 5}
