@@ -132,27 +132,29 @@ def _prior_scores(spark, sf_dir):
     return scored.select(F.col(KEY).alias("id"), F.col(TARGET).alias("label"), F.round("score", 8).alias("score"))
 
 
+_FEATURE_LIST = ", ".join(f'"{c}"' for c in f.MODEL_FEATURES)
+_DONATED = ", ".join(f'd."{c}" AS "donor_{c}"' for c in f.MODEL_FEATURES)
 _ORDERS = "orders_by_hash AS (" + " UNION ALL ".join(
-    f"""SELECT {r} AS repeat, campaign_record_id, age, balance, row_number() OVER (
+    f"""SELECT {r} AS repeat, campaign_record_id, {_FEATURE_LIST}, row_number() OVER (
           ORDER BY CAST('0x' || substr(md5(campaign_record_id || ':{42 + r}'), 1, 15) AS BIGINT), campaign_record_id) AS place
-        FROM divided WHERE split = 'test'"""
-    for r in range(3)
+        FROM (SELECT *, {_FLAGS} FROM divided WHERE split = 'test')"""
+    for r in range(11)
 ) + ")"
 
 
 @register(
     "shuffled_donors",
     oracle(
-        """SELECT b.campaign_record_id, b.age, d.repeat, d.age AS donor_age, d.balance AS donor_balance
+        f"""SELECT b.campaign_record_id, b.age, d.repeat, {_DONATED}
         FROM orders_by_hash b JOIN orders_by_hash d ON b.place = d.place AND b.repeat = 0 AND d.repeat > 0""",
         _ORDERED, _ORDERS,
     ),
 )
 def _shuffled_donors(spark, sf_dir):
-    """Two random permutations of the test rows, as used for permutation importance."""
+    """Ten random permutations of the test rows with all features, as used for permutation importance."""
     _, test = parts(spark, sf_dir)
-    pairs = m.shuffled_donors(test.select(KEY, "age", "balance"), KEY, ["age", "balance"], 2)
-    return pairs.select(KEY, "age", "repeat", F.col("donor.age").alias("donor_age"), F.col("donor.balance").alias("donor_balance"))
+    pairs = m.shuffled_donors(test.select(KEY, *f.MODEL_FEATURES), KEY, f.MODEL_FEATURES, 10)
+    return pairs.select(KEY, "age", "repeat", *[F.col("donor")[c].alias(f"donor_{c}") for c in f.MODEL_FEATURES])
 
 
 _FILLED = {c: f"coalesce(CAST({c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM train))" for c in f.NUMERIC_FEATURES}

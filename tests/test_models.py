@@ -174,3 +174,11 @@ def test_registered_search_draws_from_the_whole_space(spark, monkeypatch):
     monkeypatch.setattr(q.m, "random_search", search)
     q.search(spark, "whole space")
     assert seen == {"space": m.SEARCH_SPACE, "n": 16, "k": 5}
+
+
+def test_donor_oracle_covers_all_features_and_repeats():
+    from campaignlake.operators.features import MODEL_FEATURES
+    from campaignlake.plans.catalogue import ORACLES
+
+    assert all(f'"donor_{c}"' in ORACLES["shuffled_donors"] for c in MODEL_FEATURES)
+    assert all(f":{42 + r}'" in ORACLES["shuffled_donors"] for r in range(11))
