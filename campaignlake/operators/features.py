@@ -86,7 +86,7 @@ def check_feature_columns(columns: Sequence[str], target: str = "subscribed", fo
     if found:
         raise ValueError(f"Current-campaign features must stay out of the model: {found}")
     if target in columns:
-        raise ValueError(f"The target {target!r} must not be a model feature.")
+        raise ValueError(f"The target column {target!r} must not be a model feature.")
     if list(columns) != MODEL_FEATURES:
         raise ValueError(f"The model needs these feature columns in this order: {MODEL_FEATURES}")
 

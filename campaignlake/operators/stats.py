@@ -202,7 +202,7 @@ def wilson_columns(successes: Column, total: Column, confidence: float = CONFIDE
     n, k = total.cast("double"), successes.cast("double")
     checked = fail_when(
         n <= 0,
-        "A rate needs at least one row.",
+        "The number of rows of a rate must be positive.",
         fail_when((k < 0) | (k > n), "Successes must lie between zero and total rows.", F.try_divide(k, n), "double"),
         "double",
     )
@@ -217,7 +217,7 @@ def wilson_columns(successes: Column, total: Column, confidence: float = CONFIDE
 def wilson_interval(df: DataFrame, target: str, confidence: float = CONFIDENCE) -> DataFrame:
     """One row: the positive rate in percent with its Wilson interval."""
     counted = df.agg(F.count(F.lit(1)).alias("total"), F.sum(F.col(target).cast("long")).alias("positives"))
-    counted = fail_rows(counted, F.col("total") <= 0, "A rate needs at least one row.")
+    counted = fail_rows(counted, F.col("total") <= 0, "The number of rows of a rate must be positive.")
     estimate, low, high = wilson_columns(F.col("positives"), F.col("total"), confidence)
     return counted.select(
         F.col("total").alias("total_clients"),
