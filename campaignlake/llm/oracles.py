@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .shard_oracle import OP11
+
 # Words of a text as the contracts define them; a null text has none.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -163,10 +165,45 @@ SELECT doc_id, domain, lang, source, n_tokens, unnest(range(0, times::BIGINT))::
 FROM timed WHERE times > 0
 """
 
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+worded AS (
+  SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+sized AS (SELECT lang, w[i:i + s - 1] AS g FROM placed, (SELECT unnest(range(1, 6)) AS s) WHERE i + s - 1 <= len(w)),
+counted AS (SELECT lang, g, count(*)::BIGINT AS f FROM sized GROUP BY lang, g),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE len(g) = 1 GROUP BY lang),
+phrases AS (SELECT lang, g, f AS a FROM counted WHERE len(g) >= 2 AND f >= 100),
+inside AS (
+  SELECT p.lang, p.g[i:i + s - 1] AS g, p.a
+  FROM phrases p, (SELECT unnest(range(2, 5)) AS s), (SELECT unnest(range(1, 5)) AS i)
+  WHERE s < len(p.g) AND i + s - 1 <= len(p.g)),
+kept AS (
+  SELECT * FROM phrases p WHERE NOT EXISTS (
+    SELECT 1 FROM inside x WHERE x.lang = p.lang AND x.g = p.g AND 100 * x.a >= 100 * p.a)),
+cuts AS (
+  SELECT p.lang, p.g, p.a, k, x.f AS l, y.f AS r, n,
+         (1000::HUGEINT * p.a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM kept p JOIN (SELECT unnest(range(1, 5)) AS k) ON k < len(p.g)
+  JOIN counted x ON x.lang = p.lang AND x.g = p.g[1:k]
+  JOIN counted y ON y.lang = p.lang AND y.g = p.g[k + 1:]
+  JOIN totals t ON t.lang = p.lang),
+lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS place, array_to_string(g, ' ') AS phrase FROM cuts),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest WHERE place = 1)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op2_quality_ledger": OP2,
     "op3_minhash_bbit": OP3,
     "op5_chat_parts": OP5,
     "op8_super_kmers": OP8,
     "op9_hierarchical_mix": OP9,
+    "op11_feistel_shards": OP11,
+    "op12_debruijn_phrases": OP12,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import chat_parts, minhash_bbit, mixing, nn_descent, packing, pii_disclosure, quality_ledger, superkmer, toxicity_pu, unigram_count
+from . import chat_parts, minhash_bbit, mixing, nn_descent, packing, phrases, pii_disclosure, quality_ledger, sharding, superkmer, toxicity_pu, unigram_count
 from .common import table
 
 
@@ -82,6 +82,14 @@ def op10_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_pu.score(docs, toxicity_pu.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(table(spark, sf_dir, "documents"), shards=16)
+
+
+def op12_debruijn_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"), least=100, longest=5, keep=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_ledger": op2_quality_ledger,
@@ -93,4 +101,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_super_kmers": op8_super_kmers,
     "op9_hierarchical_mix": op9_hierarchical_mix,
     "op10_toxicity_pu": op10_toxicity_pu,
+    "op11_feistel_shards": op11_feistel_shards,
+    "op12_debruijn_phrases": op12_debruijn_phrases,
 }
