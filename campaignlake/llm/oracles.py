@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .shard_oracle import OP11
+from .shard_oracle import CRC_TABLE, OP11, crc32
 
 # Words of a text as the contracts define them; a null text has none.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -198,6 +198,40 @@ ranked AS (
 SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
 """
 
+OP13 = rf"""
+WITH RECURSIVE {CRC_TABLE},
+found AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+coded AS (
+  SELECT run, {crc32("k", "digits")} AS code FROM (SELECT run, k, hex(k) AS digits FROM (SELECT run, doc_id || ':' || run AS k FROM found)), crc_table),
+slipped AS (
+  SELECT CASE WHEN code % 31 = 0 THEN run[:code % length(run)] || run[code % length(run) + 2:] ELSE run END AS word FROM coded),
+vocabulary AS (
+  SELECT word, count(*)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+dropped AS (
+  SELECT word, i, word[:i - 1] || word[i + 1:] AS short FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+pairs AS (
+  SELECT DISTINCT a.word AS x, b.word AS y FROM dropped a JOIN dropped b ON a.short = b.short AND a.i = b.i AND a.word < b.word
+  UNION
+  SELECT DISTINCT a.word, v.word FROM dropped a JOIN vocabulary v ON a.short = v.word),
+both_ways AS (SELECT x, y FROM pairs UNION SELECT y, x FROM pairs),
+near AS (
+  SELECT x AS word, y, v.n AS near_n, count(*) OVER (PARTITION BY x) AS n_near,
+         row_number() OVER (PARTITION BY x ORDER BY v.n DESC, y) AS place
+  FROM both_ways JOIN vocabulary v ON v.word = y),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 10 * v.n THEN y END AS form,
+         CASE WHEN near_n >= 10 * v.n THEN near_n END AS form_n
+  FROM vocabulary v LEFT JOIN near ON near.word = v.word AND place = 1),
+follow AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL
+  SELECT follow.word, form FROM follow JOIN forms ON follow.root = forms.word WHERE form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN follow r ON r.word = f.word JOIN forms last ON last.word = r.root AND last.form IS NULL
+"""
+
 ORACLES: dict[str, str] = {
     "op2_quality_ledger": OP2,
     "op3_minhash_bbit": OP3,
@@ -206,4 +240,5 @@ ORACLES: dict[str, str] = {
     "op9_hierarchical_mix": OP9,
     "op11_feistel_shards": OP11,
     "op12_debruijn_phrases": OP12,
+    "op13_spelling_trie": OP13,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import chat_parts, minhash_bbit, mixing, nn_descent, packing, phrases, pii_disclosure, quality_ledger, sharding, superkmer, toxicity_pu, unigram_count
+from . import chat_parts, minhash_bbit, mixing, nn_descent, packing, phrases, pii_disclosure, quality_ledger, sharding, spelling, superkmer, toxicity_pu, unigram_count
 from .common import table
 
 
@@ -90,6 +90,10 @@ def op12_debruijn_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(table(spark, sf_dir, "documents"), least=100, longest=5, keep=2000)
 
 
+def op13_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), shortest=7, least=2, ratio=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_ledger": op2_quality_ledger,
@@ -103,4 +107,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity_pu": op10_toxicity_pu,
     "op11_feistel_shards": op11_feistel_shards,
     "op12_debruijn_phrases": op12_debruijn_phrases,
+    "op13_spelling_trie": op13_spelling_trie,
 }
