@@ -35,10 +35,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 SPACES = b" \t"
 
-RUN_BYTES = 2_000_000
+RUN_BYTES = 750_000
 BITMAP_BITS = 26
 # Distinct pairs that a task holds before it passes them on.
-HELD_PAIRS = 2_000_000
+HELD_PAIRS = 1_000_000
 
 _CUT = re.compile(b"[" + re.escape(PIECE_ENDS) + b"]")
 
