@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from campaignlake.functions.numbers import fail_rows
 from campaignlake.operators.evaluation import average_precision, probability_metrics, threshold_metrics
 from campaignlake.operators.features import CATEGORICAL_FEATURES, MODEL_FEATURES, NUMERIC_FEATURES, SEED, stratified_folds
+from campaignlake.operators.forest import fit_forest
 from campaignlake.operators.quality import Rule, require_rules
 from campaignlake.operators.scan import hash_key, ordered_scan, quantiles
+from campaignlake.operators.tuning import search_scores, tree_params
 from campaignlake.session import materialize, scratch_path
 from campaignlake.sources.files import read_metadata, write_metadata
 
@@ -30,8 +32,10 @@ FOREST = {"n_estimators": 250, "max_depth": 12, "min_samples_leaf": 5, "max_feat
 SEARCH_SPACE = {
     "n_estimators": [200, 300, 450, 600],
     "max_depth": [8, 10, 12, 16, 20, None],
+    "min_samples_split": [2, 5, 10, 20],
     "min_samples_leaf": [1, 2, 5, 10, 20],
     "max_features": ["sqrt", "log2", 0.5],
+    "class_weight": ["balanced", "balanced_subsample"],
     "max_samples": [None, 0.70, 0.85],
 }
 DEEPEST_TREE = 30  # limit of Spark's trees; stands for "no limit"
@@ -162,7 +166,11 @@ def preprocessing_contract(spark) -> DataFrame:
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """A candidate: `prior`, `logistic` or `forest`, with parameters by their usual names."""
+    """A candidate: `prior`, `logistic`, `forest` or `bagged`, with parameters by their usual names.
+
+    `forest` is Spark's, `bagged` that of `operators.forest`, which also knows `min_samples_split` and
+    `class_weight`.
+    """
 
     name: str
     kind: str
@@ -217,6 +225,12 @@ def fit_classifier(
         share = weights_to_rate(weights)
         return SQLTransformer(statement=f"SELECT *, {share!r}D AS score FROM __THIS__")
     weight = F.when(F.col(target) == 1, F.lit(weights[1])).otherwise(F.lit(weights[0])) if spec.balanced else F.lit(1.0)
+    if spec.kind == "bagged":
+        if not key:
+            raise ValueError("Bags follow from the rows' key, which is missing.")
+        p = dict(spec.params)
+        return fit_forest(train, key, target, p.get("n_estimators", 100), tree_params(
+            {"class_weight": "balanced" if spec.balanced else None, **p}), seed)
     carried = [key] if key else []
     rows = fit_layout(
         train.select("features", F.col(target).cast("double").alias("label"), weight.alias("class_weight"), *carried),
@@ -407,14 +421,18 @@ def random_search(
     k: int = 5,
     seed: int = SEED,
     parallelism: int = 1,
+    journal: str | None = None,
 ) -> DataFrame:
     """Cross-validate drawn forests; parameters, ranks, means and population deviations.
 
-    All candidates share the prepared folds. Rank 1 has the best mean average precision.
+    All candidates share the prepared folds, and those that differ in size or depth alone share trees. Rank 1
+    has the best mean average precision. Scores of finished candidates and folds stay in `journal`, by default
+    a place in the shared folder that follows from the search and the rows, and are not computed again there.
     """
     settings = draw_candidates(space, n, seed)
-    specs = [ModelSpec(f"candidate_{i:03d}", "forest", True, s) for i, s in enumerate(settings)]
-    scored, timings = fold_scores(specs, prepared_folds(df, key, target, k, seed, parallelism), key, target, seed, parallelism)
+    specs = [ModelSpec(f"candidate_{i:03d}", "bagged", True, s) for i, s in enumerate(settings)]
+    folds = prepared_folds(df, key, target, k, seed, parallelism)
+    scored, timings = search_scores(folds, {s.name: s.params for s in specs}, key, target, seed, parallelism, journal)
     folds = materialize(fold_metrics(scored, timings), "fold_metrics")
     aggregates = []
     for m in METRICS:

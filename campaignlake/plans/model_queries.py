@@ -1,6 +1,6 @@
 """Registered queries: model training, tuning, scoring and importance on the campaign table.
 
-Fitted models have no SQL form; fills, the prior and the shuffles do. Forests have their full settings,
+Fitted models have no SQL form; fills, the prior, bags and the shuffles do. Forests have their full settings,
 those of the random search too: 16 candidates of the whole space and 5 folds.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from campaignlake.operators import evaluation as e
 from campaignlake.operators import features as f
+from campaignlake.operators import forest as fo
 from campaignlake.operators import models as m
 from campaignlake.plans.feature_queries import _FLAGS, _ORDERED, split_campaign
 from campaignlake.plans.registry import oracle, register
@@ -217,6 +218,51 @@ def _best_candidate(spark, sf_dir):
     return m.best_candidate(search(spark, sf_dir), comparison(spark, sf_dir)[1])
 
 
+BAGGED = m.ModelSpec(
+    "bagged_forest", "bagged", False,
+    {"n_estimators": 300, "max_depth": 12, "min_samples_split": 20, "min_samples_leaf": 5, "class_weight": "balanced_subsample"})
+
+
+@register("bagged_forest_scores")
+def _bagged_forest_scores(spark, sf_dir):
+    """Test rows scored by a forest with the settings that Spark's forest lacks."""
+    train, test = parts(spark, sf_dir)
+    prepared = Pipeline(stages=m.preprocessing_stages()).fit(train.select(*f.MODEL_FEATURES))
+    ready = [materialize(prepared.transform(x).select(KEY, TARGET, "features"), "ready") for x in (train, test)]
+    scored = m.score(m.fit_classifier(BAGGED, ready[0], TARGET, key=KEY), ready[1])
+    return scored.select(F.col(KEY).alias("id"), F.col(TARGET).alias("label"), "score")
+
+
+_BAG_TREES, _BAG_RATE = 40, 0.85
+_MOD = f"{2**64}::HUGEINT"
+
+
+def _hashed(value: str) -> str:
+    """The forest's hash of a column, two multiplications modulo 2**64, as nested selects give it in SQL."""
+    first, second = (f"{x}::HUGEINT" for x in fo._MIX)
+    return f"""(SELECT xor(v2, v2 >> 32) FROM (SELECT xor(v1, v1 >> 29) * {second} % {_MOD} AS v2
+               FROM (SELECT ({value}) * {first} % {_MOD} AS v1)))"""
+
+
+@register(
+    "bag_table",
+    oracle(
+        f"""SELECT tree, label, count(*) FILTER (times > 0) AS bagged, CAST(sum(times) AS BIGINT) AS draws,
+                   CAST(sum(sum(times)) OVER (PARTITION BY tree) AS DOUBLE) / (2 * sum(times)) AS class_weight
+        FROM drawn GROUP BY tree, label""",
+        _ORDERED, _TRAIN,
+        "hashed_rows AS (SELECT subscribed AS label, " + _hashed("campaign_record_id::HUGEINT") + " AS h FROM train)",
+        "salts AS (SELECT * FROM (VALUES " + ", ".join(
+            f"({t}::BIGINT, {((f.SEED * fo._ROW) ^ (t * fo._TREE)) % 2**64}::HUGEINT)" for t in range(_BAG_TREES)) + ") AS s(tree, salt))",
+        "drawn AS (SELECT tree, label, len(list_filter([" + ", ".join(f"{c}::HUGEINT" for c in fo.poisson_cuts(_BAG_RATE))
+        + "], lambda c: c <= draw)) AS times FROM (SELECT tree, label, " + _hashed("xor(h, salt)") + " >> 11 AS draw FROM hashed_rows, salts))",
+    ),
+)
+def _bag_table(spark, sf_dir):
+    """Bags of the first trees over the training rows, and the class weights they give."""
+    return fo.bag_table(parts(spark, sf_dir)[0], KEY, TARGET, _BAG_TREES, _BAG_RATE, f.SEED)
+
+
 @register("out_of_fold_scores")
 def _out_of_fold_scores(spark, sf_dir):
     train = parts(spark, sf_dir)[0]
