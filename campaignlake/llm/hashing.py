@@ -49,6 +49,14 @@ class WordHasher:
                 row[0] = 1
                 setattr(self, name, np.multiply.accumulate(row))
 
+    def spans(self, joined: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of runs of bytes."""
+        n = len(joined)
+        self._grow(n + 1)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(self.values[joined] * self.power[:n], out=sums[1:])
+        return mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+
     def split(self, texts: list[bytes]):
         """(joined bytes, starts, ends, hashes, first word of each text and the end)."""
         joined = np.frombuffer(b" ".join([b"", *texts, b""]), dtype=np.uint8)

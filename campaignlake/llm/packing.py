@@ -9,7 +9,6 @@ length.
 
 from __future__ import annotations
 
-import re
 import sys
 import zlib
 from dataclasses import dataclass
@@ -20,6 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import grouped, materialize, worker_state
+from .hashing import WordHasher
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -28,19 +28,58 @@ CACHE_BYTES = 160_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, block long, place long"
 
-# Letters that lower-case and compose alike everywhere, with closing marks behind them: a step from a
-# letter to such a mark ends a word for the tokenizer, as white space does.
-LETTERS_AND_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# Closing marks: a step from a letter to one of them ends a word for the tokenizer, as white space does.
+MARKS = b".,;:!?"
+# First bytes of the code points U+00C0 to U+00FF, and the second bytes of those that are no letters.
+LATIN, NO_LETTERS = 0xC3, (0x97, 0xB7)
+
+
+class Chunks:
+    """The white-space-free chunks of texts that are a word of letters with closing marks, or else anything.
+
+    Letters are those of a-z and U+00E0 to U+00FF with their capitals, which lower-case and compose alike
+    everywhere; words are lower-cased here, so a word is one word with any capitals and marks.
+    """
+
+    def __init__(self):
+        self.hasher = WordHasher(False)
+        self.lower = np.arange(256, dtype=np.uint8)
+        self.lower[65:91] += 32
+        self.letter = np.zeros(256, dtype=bool)
+        self.letter[97:123] = True
+        self.mark = np.zeros(256, dtype=bool)
+        self.mark[list(MARKS)] = True
+
+    def split(self, texts: list[bytes]):
+        """(lower-cased bytes, bytes, starts, ends of words, ends of chunks, which are words, chunks by text)."""
+        joined = np.frombuffer(b" ".join([b"", *texts, b""]), dtype=np.uint8)
+        lowered = self.lower[joined]
+        second = np.concatenate([[False], joined[:-1] == LATIN]) & (joined >= 0x80) & ~np.isin(joined, NO_LETTERS)
+        lowered[second & (joined < 0x9F)] += 32
+        letter = self.letter[lowered] | second
+        letter[:-1] |= second[1:]
+        mark = self.mark[joined]
+        inside = self.hasher.within[joined]
+        edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, ends = edge[::2], edge[1::2]
+        # Neither letter nor mark, or a letter behind a mark, makes a chunk something else.
+        odd = inside & ~letter & ~mark
+        odd[1:] |= letter[1:] & mark[:-1]
+        bad, marks = np.concatenate([[0], np.cumsum(odd)]), np.concatenate([[0], np.cumsum(mark)])
+        plain = (bad[ends] == bad[starts]) & letter[starts]
+        stops = np.where(plain, ends - (marks[ends] - marks[starts]), ends)
+        text_at = np.cumsum([1, *[len(x) + 1 for x in texts]])
+        return lowered, joined, starts, stops, ends, plain, np.searchsorted(starts, text_at)
 
 
 class ChunkCache(dict):
     """Token ids (little-endian unsigned 32-bit) of the whitespace-free chunks of texts.
 
     The tokenizer's normaliser and word pattern never join characters across ASCII white space, so
-    the ids of a text are those of its chunks in order. A chunk of letters and closing marks is split
-    once more, so that a word is tokenised once with any marks behind it; new words go through the
-    tokenizer's model together, in one line, and the end-of-word flag of the vocabulary separates
-    their ids. The cache empties itself when it is full.
+    the ids of a text are those of its chunks in order, and those of a word with closing marks are the word's
+    and the marks'. A run of texts looks up each of its distinct words, marks and other chunks once; new
+    words go through the tokenizer's model together, in one line, and the end-of-word flag of the vocabulary
+    separates their ids. The cache empties itself when it is full.
     """
 
     def __init__(self, path: str):
@@ -55,57 +94,71 @@ class ChunkCache(dict):
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {"": b""}
-        self.held = 0
+        self.chunks = Chunks()
+        self.held = self.emptied = 0
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def learn_words(self, found: list[str]) -> None:
+    def learn_words(self, found: list[bytes]) -> None:
         """Ids of each of many lower-case words of letters."""
-        ids = np.array(self.plain.encode(" ".join(found), add_special_tokens=False).ids, dtype="<u4")
+        ids = np.array(self.plain.encode(b" ".join(found).decode(), add_special_tokens=False).ids, dtype="<u4")
         stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
         if len(stops) != len(found) or stops[-1:] != [4 * len(ids)][: len(stops)]:
             raise ValueError("the vocabulary does not mark the ends of words")
         raw = ids.tobytes()
-        self.words.update(zip(found, [raw[a:b] for a, b in zip([0, *stops], stops)]))
+        self.update(zip(found, [raw[a:b] for a, b in zip([0, *stops], stops)]))
         self.held += 170 * len(found) + 2 * len(raw)
 
-    def learn(self, chunks: list[bytes]) -> None:
-        split, plain = LETTERS_AND_MARKS.fullmatch, []
-        for chunk in chunks:
-            text = chunk.decode()
-            if m := split(text):
-                plain.append((chunk, m[1].lower(), m[2]))
+    def looked_up(self, keys: list[bytes], plain: bool) -> list[bytes]:
+        """Ids of distinct words of letters, or of anything else."""
+        found = list(map(self.get, keys))
+        if missing := [k for k, x in zip(keys, found) if x is None]:
+            if plain:
+                self.learn_words(missing)
             else:
-                self[chunk] = self.encode(text)
-                self.held += 170 + len(chunk) + len(self[chunk])
-        words = self.words
-        for marks in {x[2] for x in plain}.difference(words):
-            words[marks] = self.encode(marks)
-        if missing := list({x[1] for x in plain}.difference(words.keys())):
-            self.learn_words(missing)
-        for chunk, word, marks in plain:
-            self[chunk] = words[word] + words[marks] if marks else words[word]
-        self.held += 170 * len(plain)
+                for key in missing:
+                    self[key] = self.encode(key.decode())
+                    self.held += 170 + len(key) + len(self[key])
+            found = list(map(self.get, keys))
+        return found
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Token ids of each text."""
-        chunks, stops = [], []
-        for text in texts:
-            chunks += text.split()
-            stops.append(len(chunks))
         if self.held > CACHE_BYTES:
             self.clear()
-            self.words = {"": b""}
-            self.held = 0
-        found = list(map(self.get, chunks))
-        gaps = [i for i, x in enumerate(found) if x is None]
-        if gaps:
-            self.learn(list({chunks[i] for i in gaps}))
-            for i in gaps:
-                found[i] = self[chunks[i]]
-        return [b"".join(found[a:b]) for a, b in zip([0, *stops], stops)]
+            self.held, self.emptied = 0, self.emptied + 1
+        lowered, joined, starts, stops, ends, plain, first = self.chunks.split(texts)
+        raw, low = joined.tobytes(), lowered.tobytes()
+        hasher = self.chunks.hasher
+        marked = stops < ends
+        # Parts in three kinds: words, marks behind words, other chunks. Equal parts have equal hashes of 64 bits.
+        kinds = [
+            (low, np.flatnonzero(plain), starts, stops, lowered, True), (raw, np.flatnonzero(marked), stops, ends, joined, False),
+            (raw, np.flatnonzero(~plain), starts, ends, joined, False),
+        ]
+        place = np.arange(len(starts)) + np.cumsum(marked) - marked  # of a chunk's first part
+        entry = np.empty(len(starts) + int(marked.sum()), dtype=np.int64)
+        known: list[bytes] = []
+        for i, (source, of, begin, end, array, word) in enumerate(kinds):
+            if not len(of):
+                continue
+            hashes = hasher.spans(array, begin[of], end[of])
+            _, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+            entry[place[of] + (i == 1)] = back + len(known)
+            keys = [source[a:b] for a, b in zip(begin[of][at].tolist(), end[of][at].tolist())]
+            known += self.looked_up(keys, word)
+        flat = np.frombuffer(b"".join(known), dtype="<u4")
+        sizes = np.array([len(x) // 4 for x in known], dtype=np.int64)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        count = sizes[entry] if len(entry) else np.zeros(0, dtype=np.int64)
+        total = np.concatenate([[0], np.cumsum(count)])
+        out = flat[np.arange(total[-1]) + np.repeat(offsets[entry] - total[:-1], count)] if len(entry) else flat
+        raw_ids = out.tobytes()
+        # First part of each text: parts before its first chunk.
+        before = np.concatenate([place, [len(entry)]])[first]
+        cuts = (4 * total[before]).tolist()
+        return [raw_ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def tokenize_pieces(
