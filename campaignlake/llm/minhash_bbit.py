@@ -303,13 +303,16 @@ def near_duplicates(
     common = None
     for width in (4, 0):
         opened = _open_buckets(members, labels)
+        if opened.isEmpty():
+            break
         if common is None:  # later rounds open no further buckets
             common = materialize(_common_counts(opened, sets), "common")
         pairs = _across(opened, signatures.join(common, "rep"), width, percent).join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         found = materialize(_confirm(pairs, sets, percent), "confirmed")
-        tested, links = tested.union(pairs), links.union(found)
-        labels = components(labels.select(F.col("vertex").alias("a"), F.col("component").alias("b")).union(found), "a", "b")
+        tested = tested.union(pairs)
+        if not found.isEmpty():
+            labels = components(labels.select(F.col("vertex").alias("a"), F.col("component").alias("b")).union(found), "a", "b")
 
     # From the smallest class to the smallest document of each component.
     ids = reps.select(F.col("class"), "set_a", "set_b", F.col("rep").alias("doc"))
