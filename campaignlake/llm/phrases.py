@@ -236,6 +236,61 @@ def _unary(frequent: DataFrame) -> DataFrame:
     return longer.groupBy("lang", "gram").agg(F.max("f").alias("most"))
 
 
+def unary_paths(frequent: DataFrame, longest: int = 5) -> DataFrame:
+    """(lang, passage, f): chains of edges through unary nodes, each joined into one passage.
+
+    `frequent` are rows of `nodes` above some count. Two edges join where the node between them has one edge
+    in and one out that both carry its whole flow. Each round lets every edge see twice as far ahead, so the
+    rounds follow the logarithm of the longest passage; a circle is cut before its smallest edge.
+    """
+    edge = frequent.where(F.col("size") == longest).select("lang", "gram", "f")
+    node = frequent.where(F.col("size") == longest - 1).select("lang", F.col("gram").alias("node"), F.col("f").alias("flow"))
+    ahead = edge.select("lang", _words_of(F.col("gram"), 2, longest - 1).alias("node"), F.col("gram").alias("before"), "f")
+    behind = edge.select("lang", _words_of(F.col("gram"), 1, longest - 1).alias("node"), F.col("gram").alias("after"), F.col("f").alias("g"))
+    links = ahead.join(node, ["lang", "node"]).where("f = flow").join(behind, ["lang", "node"]).where("g = flow")
+    links = links.select("lang", F.col("before").alias("gram"), F.col("after").alias("next"))
+    # Steps back to the first edge of the chain so far, and the smallest edge on the way.
+    state = edge.join(links.select("lang", F.col("next").alias("gram"), F.col("gram").alias("back")), ["lang", "gram"], "left")
+    state = materialize(state.select(
+        "lang", "gram", "f", "back", F.coalesce("back", "gram").alias("head"), F.when(F.col("back").isNull(), 0).otherwise(1).alias("steps"),
+        F.col("back").alias("to"), F.least("gram", "back").alias("low")), "paths")
+    chained = state.where("back IS NOT NULL").count()
+    for _ in range(max(1, chained).bit_length() + 1):
+        if state.where("to IS NOT NULL").isEmpty():
+            break
+        other = state.select("lang", F.col("gram").alias("to"), F.col("head").alias("head2"), F.col("steps").alias("steps2"),
+                             F.col("to").alias("to2"), F.col("low").alias("low2"))
+        state = materialize(state.join(other, ["lang", "to"], "left").select(
+            "lang", "gram", "f", "back", F.coalesce("head2", "head").alias("head"),
+            (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"), F.col("to2").alias("to"),
+            F.least("low", F.coalesce("low2", "low")).alias("low")), "paths")
+    # What still points on after that many rounds goes round in a circle, which its smallest edge begins.
+    circle = state.where("to IS NOT NULL")
+    if not circle.isEmpty():
+        cut = circle.where("gram = low").select("lang", F.col("gram").alias("next"))
+        open_ = links.join(cut, ["lang", "next"], "left_anti")
+        rest = circle.select("lang", "gram", "f").join(open_.select("lang", F.col("next").alias("gram"), F.col("gram").alias("back")), ["lang", "gram"], "left")
+        walked = _walk_back(rest)
+        state = state.where("to IS NULL").select("lang", "gram", "f", "head", "steps").unionByName(walked)
+    last = F.substring_index("gram", " ", -1)
+    parts = F.array_sort(F.collect_list(F.struct("steps", F.when(F.col("steps") == 0, F.col("gram")).otherwise(last).alias("words"))))
+    joined = state.groupBy("lang", "head").agg(parts.alias("parts"), F.max("f").alias("f"))
+    return joined.select("lang", F.array_join(F.col("parts.words"), " ").alias("passage"), "f")
+
+
+def _walk_back(rows: DataFrame) -> DataFrame:
+    """(lang, gram, f, head, steps) of chains without circles, by `back`."""
+    state = materialize(rows.select(
+        "lang", "gram", "f", F.coalesce("back", "gram").alias("head"), F.when(F.col("back").isNull(), 0).otherwise(1).alias("steps"),
+        F.col("back").alias("to")), "paths")
+    while not state.where("to IS NOT NULL").isEmpty():
+        other = state.select("lang", F.col("gram").alias("to"), F.col("head").alias("head2"), F.col("steps").alias("steps2"), F.col("to").alias("to2"))
+        state = materialize(state.join(other, ["lang", "to"], "left").select(
+            "lang", "gram", "f", F.coalesce("head2", "head").alias("head"),
+            (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"), F.col("to2").alias("to")), "paths")
+    return state.select("lang", "gram", "f", "head", "steps")
+
+
 def mine(
     docs: DataFrame, least: int = 100, longest: int = 5, keep: int = 2000, lang_column: str = "lang", text_column: str = "text",
 ) -> DataFrame:
