@@ -9,7 +9,8 @@ at most two rows per partition, which is broadcast.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -116,6 +117,56 @@ def ordered_scan(
     )
 
 
+@dataclass(frozen=True)
+class Monoid:
+    """An associative operation: over rows as an aggregate, and between two results, of which one may be null."""
+
+    aggregate: Callable[[Column], Column]
+    combine: Callable[[Column, Column], Column]
+
+
+MINIMUM, MAXIMUM = Monoid(F.min, F.least), Monoid(F.max, F.greatest)
+TOTAL = Monoid(F.sum, lambda a, b: F.coalesce(a + b, a, b))
+EVERY = Monoid(F.bool_and, lambda a, b: F.coalesce(a & b, a, b))
+
+
+def ordered_fold(
+    df: DataFrame, order: Sequence[str], by: Sequence[str], folds: Mapping[str, tuple[str, Monoid]], descending: bool = False,
+) -> DataFrame:
+    """Add running results of associative operations: `folds` maps an output to (column, operation).
+
+    Rows run by `order`, upwards or downwards, inside each group of `by`, and each gets the result up to and
+    with itself. A group of any size spans partitions; what a partition takes over is one state per group
+    that began before it, of which there is one at most. Nulls in `by` are a group. Of rows with equal order
+    the result depends on which comes first.
+    """
+    by, towards = list(by), F.desc if descending else F.asc
+    keys = [*by, *[towards(c) for c in order]]
+    ranged = materialize(df.repartitionByRange(*keys).withColumn(_PART, F.spark_partition_id()), "fold")
+    group = F.struct(F.lit(0).alias("_all"), *by)
+    inside = Window.partitionBy(_PART, *by).orderBy(*[towards(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", group.alias("_group"), *[m.aggregate(F.col(c)).over(inside).alias(f"_run_{out}") for out, (c, m) in folds.items()])
+    # Per partition its first and last group, and the state at the end of the last one.
+    state = F.struct(F.lit(0).alias("_none"), *[F.col(f"_end_{out}") for out in folds])
+    ends = ranged.groupBy(_PART, group.alias("_group")).agg(*[m.aggregate(F.col(c)).alias(f"_end_{out}") for out, (c, m) in folds.items()])
+    ends = ends.groupBy(_PART).agg(
+        F.min("_group").alias("_first"), F.max("_group").alias("_last"), F.max_by(state, F.col("_group")).alias("_state"))
+    nothing = F.lit(None).cast(ends.schema["_state"].dataType)
+    edges = ends.select(_PART, F.explode(F.array_compact(F.array(
+        F.struct(F.col("_last").alias("g"), F.col("_state").alias("s")),
+        F.when(~F.col("_first").eqNullSafe(F.col("_last")), F.struct(F.col("_first").alias("g"), nothing.alias("s"))),
+    ))).alias("e")).select(_PART, F.col("e.g").alias("_group"), F.col("e.s").alias("_state"))
+    before = Window.partitionBy("_group").orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    carried = edges.select(
+        F.col(_PART).alias("_carry_part"), F.col("_group").alias("_carry_group"),
+        *[m.aggregate(F.col(f"_state._end_{out}")).over(before).alias(f"_carry_{out}") for out, (_, m) in folds.items()])
+    # At most two rows per partition.
+    joined = local.join(
+        F.broadcast(carried), (F.col(_PART) == F.col("_carry_part")) & F.col("_group").eqNullSafe(F.col("_carry_group")), "left")
+    results = [m.combine(F.col(f"_carry_{out}"), F.col(f"_run_{out}")).alias(out) for out, (_, m) in folds.items()]
+    return joined.select(*[c for c in df.columns if c not in folds], *results)
+
+
 def value_histogram(
     df: DataFrame, values: Mapping[str, Column] | Sequence[str], target: str | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -191,6 +242,65 @@ def quantiles(
     return found.select(*by, *[f"total_{w}" for w in weights], *out)
 
 
+def bracketed_quantiles(
+    df: DataFrame, values: Mapping[str, Column] | Sequence[str], probabilities: Mapping[str, float], accuracy: int = 10_000,
+) -> DataFrame:
+    """Exact interpolated quantiles per column: feature, total_n, and one column per name of `probabilities`.
+
+    A mergeable sketch per column, made in one pass, brackets each rank between two values; a second pass
+    counts what lies below each bracket, and only rows within brackets, a few per `accuracy`, are counted by
+    value and ordered. A bracket that misses its rank, as may happen in small tables, gives way to the whole
+    column. Nulls drop out, and so do columns without values. The driver holds two numbers per column and
+    probability.
+    """
+    if not isinstance(values, Mapping):
+        values = {name: F.col(name) for name in values}
+    names, points = list(values), list(probabilities.items())
+    wide = df.select(*[values[n].cast("double").alias(f"_v{i}") for i, n in enumerate(names)])
+    margin = 3.0 / accuracy
+
+    def near(column: str, shift: float) -> Column:
+        at = [min(1.0, max(0.0, p + shift)) for _, p in points]
+        return F.percentile_approx(column, F.array(*[F.lit(x) for x in at]), F.lit(accuracy))
+
+    sketched = wide.agg(*[x for i in range(len(names)) for x in (
+        F.count(f"_v{i}").alias(f"n{i}"), F.min(f"_v{i}").alias(f"min{i}"), F.max(f"_v{i}").alias(f"max{i}"),
+        near(f"_v{i}", -margin).alias(f"low{i}"), near(f"_v{i}", margin).alias(f"high{i}"))]).first()
+    held = [i for i in range(len(names)) if sketched[f"n{i}"]]
+    brackets = {(i, j): (sketched[f"low{i}"][j], sketched[f"high{i}"][j]) for i in held for j in range(len(points))}
+    if not held:
+        shape = ", ".join(["feature string, total_n long", *[f"`{n}` double" for n, _ in points]])
+        return df.sparkSession.createDataFrame([], shape)
+    counted = wide.agg(*[x for (i, j), (low, high) in brackets.items() for x in (
+        F.count_if(F.col(f"_v{i}") < low).alias(f"below{i}_{j}"), F.count_if(F.col(f"_v{i}") <= high).alias(f"upto{i}_{j}"))]).first()
+    ranks = []
+    for (i, j), (low, high) in list(brackets.items()):
+        spot = points[j][1] * (sketched[f"n{i}"] - 1)
+        below = counted[f"below{i}_{j}"]
+        if not (below <= math.floor(spot) and math.ceil(spot) < counted[f"upto{i}_{j}"]):
+            brackets[i, j], below = (sketched[f"min{i}"], sketched[f"max{i}"]), 0
+        ranks.append((i, j, sketched[f"n{i}"], math.floor(spot) - below, math.ceil(spot) - below, spot - math.floor(spot)))
+    inside = [F.when(F.col(f"_v{i}").between(low, high), F.struct(
+        F.lit(i).alias("column"), F.lit(j).alias("point"), F.col(f"_v{i}").alias("value"))) for (i, j), (low, high) in brackets.items()]
+    found = wide.select(F.explode(F.array_compact(F.array(*inside))).alias("x")).select("x.*")
+    counts = found.groupBy("column", "point", "value").agg(F.count(F.lit(1)).alias("n"))
+    placed = ordered_scan(counts, ["value"], ["column", "point"], sums=["n"])
+    # One row per column and probability.
+    wanted = F.broadcast(df.sparkSession.createDataFrame(
+        ranks, "column int, point int, total_n long, first long, second long, share double"))
+
+    def at(index: str) -> Column:
+        return F.max(F.when((F.col("cum_n") - F.col("n") <= F.col(index)) & (F.col(index) < F.col("cum_n")), F.col("value")))
+
+    picked = placed.join(wanted, ["column", "point"]).groupBy("column", "point", "total_n", "share").agg(
+        at("first").alias("low"), at("second").alias("high"))
+    picked = picked.withColumn("quantile", F.col("low") + (F.col("high") - F.col("low")) * F.col("share"))
+    wide_again = picked.groupBy("column", "total_n").agg(
+        *[F.max(F.when(F.col("point") == j, F.col("quantile"))).alias(n) for j, (n, _) in enumerate(points)])
+    feature = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("column") + 1)
+    return wide_again.select(feature.alias("feature"), "total_n", *[n for n, _ in points])
+
+
 def hash_key(column: Column, seed: int) -> Column:
     """60-bit key for a seeded shuffle order: the first 15 hex digits of md5('<id>:<seed>')."""
     digest = F.md5(F.concat(column.cast("string"), F.lit(f":{seed}")).cast("binary"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from campaignlake.functions.bands import category_position, label_map
 from campaignlake.functions.numbers import fail_rows, percent, ratio
-from campaignlake.operators.scan import ordered_scan, quantiles, ranked_histogram, value_histogram
+from campaignlake.operators.scan import MINIMUM, bracketed_quantiles, ordered_fold, ordered_scan, quantiles, ranked_histogram, value_histogram
 from campaignlake.session import broadcast_checked, materialize
 
 
@@ -219,16 +219,18 @@ def quantile_bands(df: DataFrame, column: str, target: str, q: int = 10) -> Data
 
     Equal values always share a band. The lower edge of the first band belongs to it.
     """
-    ranked = ranked_histogram(df, [column], target)
     names = [f"e{i}" for i in range(q + 1)]
-    edges = quantiles(ranked, {name: ("n", i / q) for i, name in enumerate(names)})
-    rows = ranked.withColumn("_edges", edges.select(F.array_distinct(F.array(*names))).scalar())
+    # One row of q + 1 numbers.
+    found = bracketed_quantiles(df, [column], {name: i / q for i, name in enumerate(names)}).first()
+    edges = list(dict.fromkeys(found[name] for name in names)) if found else []
+    rows = df.select(F.col(column).cast("double").alias("value"), F.col(target).cast("long").alias("_y")).where("value IS NOT NULL")
+    rows = rows.withColumn("_edges", F.array(*[F.lit(x) for x in edges]).cast("array<double>"))
     upper = F.slice("_edges", 2, q)
     index = F.least(F.size(F.filter(upper, lambda e: e < F.col("value"))), F.greatest(F.size("_edges") - 2, F.lit(0)))
     banded = (
         rows.withColumn("band", (index + 1).cast("int"))
         .groupBy("band", "_edges")
-        .agg(F.sum("n").alias("client_count"), F.sum("positives").alias("subscriber_count"))
+        .agg(F.count(F.lit(1)).alias("client_count"), F.sum("_y").alias("subscriber_count"))
     )
     low = F.element_at("_edges", F.col("band"))
     high = F.element_at("_edges", F.least(F.col("band") + 1, F.size("_edges")))
@@ -367,9 +369,8 @@ def argmax_row(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def cumulative_min_reverse(df: DataFrame, value: str, order: Sequence[str], by: Sequence[str], out: str) -> DataFrame:
-    """Running minimum from the last row of each group to the first (report-size groups)."""
-    window = Window.partitionBy(*by).orderBy(*[F.desc(c) for c in order])
-    return df.withColumn(out, F.min(value).over(window.rowsBetween(Window.unboundedPreceding, 0)))
+    """Running minimum from the last row of each group to the first; groups may be of any size."""
+    return ordered_fold(df, order, by, {out: (value, MINIMUM)}, descending=True)
 
 
 def dense_positions(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:

@@ -8,7 +8,7 @@ from campaignlake.operators import quality as q
 from campaignlake.operators.segments import segment_rates
 from campaignlake.plans.registry import oracle, register
 from campaignlake.plans.sql_reports import run_report
-from campaignlake.session import materialize
+from campaignlake.session import materialize, scratch_path
 from campaignlake.sources.campaign import COLUMNS, KEY, STORED_NAMES, TARGET, campaign, raw_campaign, short_campaign
 
 _SHORT = ["age", "job", "marital", "education", "default", "balance", "housing", "loan", "contact", "day",
@@ -250,6 +250,26 @@ def _schema_profile(spark, sf_dir):
     return q.schema_profile(campaign(spark, sf_dir))
 
 
+@register(
+    "sketched_schema_profile",
+    oracle(_rows([
+        f"""SELECT '{c}' AS "column", count({c}) AS non_null_count,
+            count(DISTINCT {c}) + CAST(bool_or({c} IS NULL) AS BIGINT) AS distinct_count, true AS within_error FROM campaign"""
+        for c in COLUMNS
+    ])),
+)
+def _sketched_schema_profile(spark, sf_dir):
+    """Sketches stored by month and contact type, merged, beside the exact counts and the stated error."""
+    rows, path = campaign(spark, sf_dir), scratch_path(spark, "sketches")
+    late = F.col("contact_month") > "j"
+    for part in (rows.where(late), rows.where(~late)):
+        q.store_sketches(part, path, F.concat_ws("/", "contact_month", "contact"))
+    exact = q.schema_profile(rows).select("column", "distinct_count")
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= q.SKETCH_ERROR * F.col("distinct_count")
+    return q.sketched_profile(spark, path).join(exact, "column").select(
+        "column", "non_null_count", "distinct_count", near.alias("within_error"))
+
+
 @register(
     "column_diff",
     oracle(
