@@ -44,7 +44,7 @@ class Training:
     least_z: float = 4.0
     steps: int = 400
     rate: float = 0.05
-    penalty: float = 1e-3
+    penalty: float = 1e-4
     seed: int = 11
 
 
@@ -174,8 +174,10 @@ def train(toxic: list[bytes], other: list[bytes], prior: float, settings: Traini
 def fit(docs: DataFrame, labels: DataFrame, settings: Training = Training(), id_column: str = "doc_id", text_column: str = "text") -> Model:
     """Train on the documents outside the held-out fold; labels of that fold are never read.
 
-    The class prior is the share of toxic among the labelled rows of the training folds. An id with
-    several labels is toxic if any of them says so; null labels do not count.
+    The class prior is the share of toxic among the labelled rows of the training folds. The unlabelled
+    sample is drawn from all rows of those folds, confirmed toxic ones included, so the prior holds for it.
+    An id with several labels is toxic if any of them says so; null labels do not count. Of rows that
+    repeat an id one is taken, the one whose text has the smallest hash.
     """
     ids = F.col(id_column).cast("long").alias("doc_id")
     known = labels.where((fold_of("doc_id") != HELD_OUT) & F.col("toxic").isNotNull()).groupBy(
@@ -186,16 +188,15 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Training = Training(), id_
     rank = F.md5(F.concat_ws(":", F.lit(str(settings.seed)), F.col("doc_id").cast("string")).cast("binary"))
     tagged = light.join(known.where("toxic = 1"), "doc_id", "left").select(
         "doc_id", (F.col("toxic") == 1).alias("confirmed"), rank.alias("rank"))
-    picked = [
-        tagged.where("confirmed").orderBy("rank").limit(settings.positives),
-        tagged.where("confirmed IS NULL").orderBy("rank").limit(settings.unlabelled),
-    ]
-    chosen = picked[0].union(picked[1]).select("doc_id", F.coalesce("confirmed", F.lit(False)).alias("confirmed"))
+    first = [(tagged.where("confirmed"), settings.positives), (tagged, settings.unlabelled)]
+    picked = [of.orderBy("rank").limit(n).select("doc_id", F.lit(i).alias("sample")) for i, (of, n) in enumerate(first)]
+    chosen = picked[0].union(picked[1]).groupBy("doc_id").agg(F.collect_set("sample").alias("samples"))
     texts = docs.select(ids, F.col(text_column).cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.min_by(F.struct("samples", "text"), F.xxhash64("text")).alias("x")).select("doc_id", "x.*")
 
-    sample = sorted((r["doc_id"], r["confirmed"], bytes(r["text"] or b"")) for r in texts.collect())
-    toxic = [text for _, confirmed, text in sample if confirmed]
-    other = [text for _, confirmed, text in sample if not confirmed]
+    sample = sorted((r["doc_id"], sorted(r["samples"]), bytes(r["text"] or b"")) for r in texts.collect())
+    toxic = [text for _, samples, text in sample if 0 in samples]
+    other = [text for _, samples, text in sample if 1 in samples]
     return train(toxic, other, prior, settings)
 
 
