@@ -30,7 +30,8 @@ EXPANDED = {"image": 576, "audio": 128, "document": 512}
 
 PART = "struct<type:string,text:string,ref:string,tokens:bigint>"
 
-_MEET = re.compile("|".join([r"\\", *map(re.escape, sorted(CONTROL, key=len, reverse=True))]))
+# First characters of control strings, those that overlap too, and backslashes.
+_MEET = re.compile("|".join([r"\\", *[f"{re.escape(c[0])}(?={re.escape(c[1:])})" for c in CONTROL]]))
 _ESCAPED = re.compile(r"\\(.)", re.S)
 _TURN = re.compile(
     re.escape(TURN) + r"((?:[^<\\]|\\.|<(?!\|))*)" + re.escape(BODY) + r"((?:[^<\\]|\\.|<(?!\|end\|>))*)" + re.escape(END),
@@ -40,8 +41,11 @@ _PLACE = re.compile(r"<\|(image|audio|document)\|>")
 
 
 def escape(text: str) -> str:
-    """Break every control string with a backslash after its first character; double backslashes."""
-    return _MEET.sub(lambda m: m[0][0] + "\\" + m[0][1:], text)
+    """Break every control string with a backslash after its first character; double backslashes.
+
+    Where two overlap, as in `<|>`, both are broken, so none is left in the result.
+    """
+    return _MEET.sub(lambda m: m[0] + "\\", text)
 
 
 def unescape(text: str) -> str:

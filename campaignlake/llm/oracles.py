@@ -80,7 +80,8 @@ joined AS (
          string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
          coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
          sum(23 + length(regexp_replace(role, '{_CONTROL}', '\1x', 'g'))
-             + length(regexp_replace(text, '{_CONTROL}', '\1x', 'g'))) AS formatted
+             + length(regexp_replace(text, '{_CONTROL}', '\1x', 'g'))
+             + (length(role || chr(10) || text) - length(replace(role || chr(10) || text, '<|>', ''))) // 3) AS formatted
   FROM rows GROUP BY conv_id)
 SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
        sha256(loss) AS loss_sha256, formatted::BIGINT AS formatted_chars
