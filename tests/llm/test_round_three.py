@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from campaignlake.llm import phrases, sharding, spelling
+from campaignlake.llm import chat_parts, phrases, sharding, spelling, toxicity_pu
 
 from . import brute
 from .conftest import frame, sentence
@@ -250,3 +250,41 @@ def test_one_apart():
 
     assert spelling.one_apart(letters, a, letters, b).tolist() == [apart(words[i], words[j]) for i, j in zip(a, b)]
     assert math.isclose(spelling.Letters([]).counts(4).size, 0)
+
+
+# 5 Chat formatting and 10 toxicity: what changed in this round ------------------------------------
+
+def test_no_control_string_is_left_in_an_escaped_text():
+    rng = random.Random(4)
+    parts = ["<", "|", ">", "\\", "<|>", "[INST]", "</s>", "<<SYS>>", "a"]
+    for text in ["<|>", "<<|>>", "<|><|>", *["".join(rng.choice(parts) for _ in range(8)) for _ in range(3000)]]:
+        escaped = chat_parts.escape(text)
+        assert not any(c in escaped for c in chat_parts.CONTROL) and chat_parts.unescape(escaped) == text
+
+
+def test_risk_of_the_last_step_is_not_above_that_of_no_model():
+    """A plain non-negative risk: positives at the prior, unlabelled rows corrected for them, never below zero."""
+    rng = random.Random(6)
+    toxic = [("bad " + sentence(rng, 12)).encode() for _ in range(60)]
+    other = [sentence(rng, 12).encode() for _ in range(270)] + toxic[:30]
+    settings = toxicity_pu.Training(steps=150, support=2, least_z=2.0)
+    model = toxicity_pu.train(toxic, other, 0.1, settings)
+
+    def margin(text):
+        found = toxicity_pu.features(text)
+        return model.bias + sum(w * found.get(name, 0.0) for name, w in model.weights.items())
+
+    def risk(scale):
+        p, u = [scale * margin(t) for t in toxic], [scale * margin(t) for t in other]
+        loss = [sum(math.log1p(math.exp(-x)) for x in p) / len(p), sum(math.log1p(math.exp(x)) for x in p) / len(p)]
+        return 0.1 * loss[0] + max(0.0, sum(math.log1p(math.exp(x)) for x in u) / len(u) - 0.1 * loss[1])
+
+    assert risk(1.0) < 0.5 * risk(0.0)
+    assert min(margin(t) for t in toxic) > max(margin(t) for t in other[:270])
+
+
+def test_repeated_ids_are_one_training_row(spark):
+    rows = [(i, f"{'bad ' if i % 6 == 0 else ''}{sentence(random.Random(i), 15)}") for i in range(600)]
+    labels = spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in range(0, 600, 2)], "doc_id long, quality int, toxic int")
+    once = toxicity_pu.fit(frame(spark, rows), labels)
+    assert toxicity_pu.fit(frame(spark, rows + rows[:200]), labels).weights == once.weights
