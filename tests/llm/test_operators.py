@@ -1,5 +1,6 @@
 """Every operator against a plain version, on rows with nulls, long texts, repeats and clashing columns."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -376,8 +377,7 @@ def test_mix(docs, empty, rows):
     levels = {"lang": F.col("lang"), "source": F.col("source")}
     weights = {("en",): 5, ("de",): 3, ("",): 1}
     found = mixing.mix(docs, levels, weights, budget_share=0.7, max_epochs=3).collect()
-    unique = {(i, t) for i, t in rows}
-    total = sum(brute.measures(t)[0] for _, t in unique)
+    total = sum(brute.measures(t)[0] for _, t in rows)
     used = sum(r.n_tokens for r in found)
     assert 0 < used <= 0.7 * total
     epochs = defaultdict(set)
@@ -391,6 +391,57 @@ def test_mix(docs, empty, rows):
     assert taken.schema == docs.schema and taken.count() == len(found)
 
 
+def test_a_weight_of_zero_leaves_its_share_to_the_siblings(spark):
+    rows = [("x", "p", 100), ("x", "q", 900), ("y", "p", 500), ("z", "p", 500)]
+    leaves = spark.createDataFrame(rows, "domain string, lang string, supply long")
+    weights = {("x", "q"): 0, ("z",): 0}
+    found = mixing.leaf_budgets(leaves, ["domain", "lang"], weights, 500, 1).collect()
+    assert {(r.domain, r.lang): r.budget for r in found} == {("x", "p"): 100, ("y", "p"): 400}
+
+
+def test_mix_reads_repeated_rows_in_full(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 7)
+    rng = random.Random(5)
+    rows = [(7, "a b c", "s", "u")] * 90 + [(None, "d e", "s", "v")] * 60 + [(None, None, "s", "w")] * 40
+    rows += [(7, "a b c", "t", "u")] * 9 + [(9, "f", "t", f"w{i}") for i in range(50)]
+    rows += [(100 + i, " ".join("x" * rng.randint(1, 9)), "st"[i % 2], "z") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra string").repartition(5)
+    levels = {"leaf": F.col("source")}
+    for share, epochs in ((0.31, 3), (0.67, 1), (0.9, 2), (1.7, 3)):
+        # Plain version: rows in seeded order, epoch by epoch, to the leaf's budget.
+        words = {s: sum(len((t or "").split()) for _, t, x, _ in rows if x == s) for s in "st"}
+        budget = int(sum(words.values()) * round(share * 1e6)) // 1_000_000
+        tree = {s: epochs * n for s, n in words.items()}
+        budgets = {s: g for (s,), g in brute.budgets(tree, {}, budget).items()}
+        expected = Counter()
+        for s in "st":
+            passes, rest = divmod(budgets[s], words[s])
+            own = [(i, t) for i, t, x, _ in rows if x == s]
+            hashes = {t: spark.range(1).select(F.xxhash64(F.lit(t).cast("string"))).first()[0] for _, t in own}
+            def place(row):
+                key = mixing_key(row[0])
+                return hashlib.md5(f"17:{passes}:{key}".encode()).hexdigest(), key, hashes[row[1]]
+            for row in own:
+                expected[(mixing_key(row[0]), s, row[1])] += passes
+            for row in sorted(own, key=place) if rest else []:
+                rest -= len((row[1] or "").split())
+                if rest < 0:
+                    break
+                expected[(mixing_key(row[0]), s, row[1])] += 1
+        taken = mixing.mixed_documents(docs, levels, {}, budget_share=share, max_epochs=epochs)
+        assert taken.columns == docs.columns
+        got = taken.collect()
+        assert Counter((mixing_key(r.doc_id), r.source, r.text) for r in got) == +expected
+        assert max(Counter((r.doc_id, r.source, r.text, r.extra) for r in got if r.extra.startswith("w") and r.doc_id).values(), default=0) <= epochs
+        found = mixing.mix(docs, levels, {}, budget_share=share, max_epochs=epochs).collect()
+        assert Counter((r.key_id, r.leaf) for r in found) == sum(
+            (Counter({(i, s): n}) for (i, s, _), n in expected.items()), Counter())
+
+
+def mixing_key(doc_id):
+    return -(2**63) if doc_id is None else doc_id
+
+
 # 10 Toxicity -----------------------------------------------------------------------------------
 
 def test_toxicity(spark, docs, empty, rows):
