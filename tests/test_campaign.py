@@ -77,6 +77,27 @@ def test_segment_ranking_reads_the_table_once(spark, sf_dir):
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+@pytest.mark.parametrize("changed", [False, True])
+def test_reports_from_one_scan_equal_the_statements(spark, sf_dir, changed):
+    from campaignlake.plans.sql_reports import report_cells, report_from_cells, run_report
+    from campaignlake.session import materialize
+    from campaignlake.sources.campaign import campaign
+
+    rows = campaign(spark, sf_dir)
+    if changed:  # missing segments form segments of their own
+        rows = materialize(rows.withColumns({c: F.when(F.col("campaign_record_id") % 5 != 0, F.col(c)) for c in (
+            "job", "contact", "education", "age", "balance")}), "changed")
+    cells = report_cells(rows)
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
+    cells = materialize(cells, "cells")
+    for name in REPORTS:
+        for size in (None, 15):
+            direct, projected = run_report(rows, name, size), report_from_cells(cells, name, size)
+            assert direct.dtypes == projected.dtypes, name
+            assert sorted(map(repr, direct.collect())) == sorted(map(repr, projected.collect())), name
+
+
 def test_shared_dir_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
