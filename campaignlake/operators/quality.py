@@ -11,7 +11,7 @@ from campaignlake.functions.bands import label_map
 from campaignlake.functions.numbers import fail_rows, percent, to_number
 from campaignlake.functions.text import normalize
 from campaignlake.operators.scan import bracketed_quantiles
-from campaignlake.session import materialize
+from campaignlake.session import BROADCAST_BYTES, ROW_BYTES, materialize
 
 # The raw campaign file.
 RAW_COLUMNS = [
@@ -250,6 +250,40 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def repeated_digests(df: DataFrame) -> DataFrame:
+    """(_h, _g, _n): 128-bit row digests that occur more than once, and how often.
+
+    Equal rows have equal digests. Digests of different rows may be equal too, if rarely, so what a digest
+    selects has to be compared by value.
+    """
+    digests = df.select(*_row_digest(df))
+    return digests.groupBy("_h", "_g").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+
+
+def _row_digest(df: DataFrame) -> list[Column]:
+    cells = [F.col(f"`{c}`") for c in df.columns]
+    # A null leaves a running hash as it is, so the second half also covers which cells are null.
+    gaps = F.concat(F.lit(""), *[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cells])
+    return [F.xxhash64(*cells).alias("_h"), F.xxhash64(gaps, *cells).alias("_g")]
+
+
+def drop_repeated_rows(df: DataFrame) -> DataFrame:
+    """`drop_exact_duplicates` in two phases, for wide tables with few copies.
+
+    First only digests are shuffled. Rows whose digest occurs once stay where they are; the others meet
+    whole and are compared by value. If the repeated digests are too many to broadcast, all rows meet
+    whole, as most of them would have to anyway. `df` is read three times and must give the same rows
+    each time; columns named _h, _g and _n must not be in it.
+    """
+    repeated = materialize(repeated_digests(df).select("_h", "_g"), "digests")
+    if repeated.count() * ROW_BYTES > BROADCAST_BYTES:
+        return df.dropDuplicates()
+    hashed = df.select("*", *_row_digest(df))
+    once = hashed.join(F.broadcast(repeated), ["_h", "_g"], "left_anti").select(df.columns)
+    copies = hashed.join(F.broadcast(repeated), ["_h", "_g"], "left_semi").select(df.columns)
+    return once.unionByName(copies.dropDuplicates())
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     """One row: how many rows repeat an earlier one exactly."""
     groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from statistics import NormalDist
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from campaignlake.functions.numbers import fail_rows, fail_when, ratio
@@ -348,21 +350,57 @@ def rank_columns(df: DataFrame, columns: Sequence[str], key: str, small: int = 1
     return result.join(wide, key, "left").select(key, *columns)
 
 
+# Columns of one block of a Gram matrix, and columns beyond which ranks are looked up in the long form.
+GRAM_BLOCK = 64
+WIDE = 40
+
+
+def gram_matrix(df: DataFrame, columns: Sequence[str], shift: float) -> DataFrame:
+    """(i, j, value): sums over all rows of (column i - shift) * (column j - shift), for i <= j.
+
+    Each task adds the products of its Arrow batches up as matrices, one pair of column blocks at a time,
+    and gives one row per pair of columns; sums over tasks follow by a grouping. A null fails the job.
+    """
+    names = list(columns)
+
+    def sums(batches):
+        total = np.zeros((len(names), len(names)))
+        for batch in batches:
+            gaps = [name for name, column in zip(names, batch.columns) if column.null_count]
+            if gaps:
+                raise ValueError(f"Columns of a correlation hold nulls: {gaps}")
+            rows = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - shift
+            for i in range(0, len(names), GRAM_BLOCK):
+                total[i:i + GRAM_BLOCK, i:] += rows[:, i:i + GRAM_BLOCK].T @ rows[:, i:]
+        i, j = np.triu_indices(len(names))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total[i, j])], ["i", "j", "value"])
+
+    parts = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{k}") for k, c in enumerate(names)])
+    return parts.mapInArrow(sums, "i int, j int, value double").groupBy("i", "j").agg(F.sum("value").alias("value"))
+
+
 def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str, small: int = 1_000_000) -> DataFrame:
     """(feature_a, feature_b, correlation) for all pairs of columns; columns hold no nulls.
 
-    Pearson correlation of average ranks, all pairs in one aggregation.
+    Pearson correlation of average ranks: one Gram matrix of centred ranks, so hundreds of columns take one
+    pass. Ranks of more than WIDE columns are looked up in the long form, not by a join per column. A
+    constant column correlates with nothing (null), and with itself by 1.
     """
-    ranked = rank_columns(df, columns, key, small)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    row = ranked.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in ((a, b), (b, a)):
-            cells.append(F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"), F.col(f"r{i}").alias("correlation")))
-    for c in columns:
-        cells.append(F.struct(F.lit(c).alias("feature_a"), F.lit(c).alias("feature_b"), F.lit(1.0).alias("correlation")))
-    return row.select(F.inline(F.array(*cells)))
+    columns = list(columns)
+    ranked = rank_columns(df, columns, key, 0 if len(columns) > WIDE else small)
+    middle = (df.count() + 1) / 2
+    gram = materialize(gram_matrix(ranked, columns, middle), "gram")
+    diagonal = gram.where("i = j").select("i", F.col("value").alias("own"))
+    # One row per column.
+    spread = [F.broadcast(diagonal.select(F.col("i").alias(k), F.col("own").alias(f"own_{k}"))) for k in "ij"]
+    value = F.try_divide(F.col("value"), F.sqrt("own_i") * F.sqrt("own_j"))
+    pairs = gram.where("i < j").join(spread[0], "i").join(spread[1], "j").select("i", "j", value.alias("correlation"))
+    both = pairs.unionByName(pairs.select(F.col("j").alias("i"), F.col("i").alias("j"), "correlation"))
+    own = gram.where("i = j").select("i", "j", F.lit(1.0).alias("correlation"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return both.unionByName(own).select(
+        F.get(names, "i").alias("feature_a"), F.get(names, "j").alias("feature_b"), "correlation")
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:

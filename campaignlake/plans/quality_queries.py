@@ -192,6 +192,12 @@ def _drop_exact_duplicates(spark, sf_dir):
     return q.drop_exact_duplicates(raw_campaign(spark, sf_dir))
 
 
+@register("drop_repeated_rows", oracle("SELECT DISTINCT * FROM raw"))
+def _drop_repeated_rows(spark, sf_dir):
+    """The same rows, where only digests of all rows are shuffled."""
+    return q.drop_repeated_rows(raw_campaign(spark, sf_dir))
+
+
 @register("encode_target", oracle("SELECT CASE y WHEN 'yes' THEN 1 ELSE 0 END AS subscribed, count(*) AS n FROM raw GROUP BY 1"))
 def _encode_target(spark, sf_dir):
     encoded = q.encode_target(raw_campaign(spark, sf_dir), "y")

@@ -53,6 +53,24 @@ def test_encode_target_fails_on_unmapped_value(spark):
         q.encode_target(df, "y").collect()
 
 
+@pytest.mark.parametrize("most", [None, 0])
+def test_repeated_rows_by_digest(spark, monkeypatch, most):
+    """Nulls in other places, signed zeros, clashing digests, a hot row; with and without room to broadcast."""
+    if most is not None:
+        monkeypatch.setattr(q, "BROADCAST_BYTES", most)
+    rows = [(None, 1, 0.0), (1, None, 0.0), (1, 1, -0.0), (1, 1, 0.0), (None, None, None)] * 2 + [(5, 6, 7.5)] * 400
+    rows += [(i, -i, float("nan")) for i in range(50)] + [(3, -3, float("nan"))]
+    df = spark.createDataFrame(rows, "a int, b int, c double").repartition(4)
+    found = q.drop_repeated_rows(df)
+    assert found.columns == df.columns
+    plain = [repr(r).replace("-0.0", "0.0") for r in df.dropDuplicates().collect()]
+    assert sorted(repr(r).replace("-0.0", "0.0") for r in found.collect()) == sorted(plain) and len(plain) == 55
+    assert q.drop_repeated_rows(df.where("false")).count() == 0
+    with monkeypatch.context() as m:  # digests that say nothing: rows are still compared by value
+        m.setattr(q, "_row_digest", lambda _: [F.lit(1).alias("_h"), F.lit(2).alias("_g")])
+        assert sorted(repr(r).replace("-0.0", "0.0") for r in q.drop_repeated_rows(df).collect()) == sorted(plain)
+
+
 def test_outliers_of_a_constant_column(spark):
     df = spark.createDataFrame([(5,)] * 10 + [(6,)], "v int")
     row = q.outlier_summary(df, ["v"]).first()

@@ -142,6 +142,34 @@ def test_spearman_matches_pandas_on_every_path(spark, small):
             assert got[(x, y)] == pytest.approx(want.loc[x, y], abs=1e-10)
 
 
+def test_spearman_of_many_columns(spark):
+    """200 columns with ties, some of them alike, opposite or constant, against the plain library."""
+    rng = np.random.default_rng(3)
+    rows, names = 300, [f"c{k}" for k in range(200)]
+    base = rng.integers(0, 40, size=(rows, 5))
+    values = {c: base[:, k % 5] * (1 - 2 * (k % 2)) + rng.integers(0, 1 + 3 * (k % 7), size=rows) for k, c in enumerate(names)}
+    values["c7"] = np.full(rows, 4)
+    frame = pd.DataFrame(values)
+    df = spark.createDataFrame(frame.assign(id=range(rows))).repartition(3)
+    found = {(r.feature_a, r.feature_b): r.correlation for r in stats.spearman_matrix(df, names, "id").collect()}
+    expected = frame.rank().corr()
+    assert len(found) == 200 * 200
+    for a in names:
+        for b in names:
+            if a == b:
+                assert found[a, b] == 1.0
+            elif "c7" in (a, b):
+                assert found[a, b] is None
+            else:
+                assert found[a, b] == pytest.approx(expected.at[a, b], abs=1e-12)
+
+
+def test_spearman_rejects_nulls(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 3.0), (3, 4.0, 1.0)], "id int, a double, b double")
+    with pytest.raises(PySparkException, match="hold nulls"):
+        stats.spearman_matrix(df, ["a", "b"], "id").collect()
+
+
 def test_profiles_match_pandas(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame({"v": np.round(rng.exponential(1e4, 500), 1), "y": rng.integers(0, 2, 500)})
