@@ -1,11 +1,11 @@
 """Near-duplicate vectors by NN-descent.
 
 A neighbour graph starts from leaves of random projections and is refined by local joins: the neighbours
-of a vector, forward and backward, are compared with each other, and every vector keeps its best. Links
-beyond the threshold connect vectors into groups. Whatever is compared reports a spanning forest of its
-links besides the best neighbours, so no link between groups is lost to a full list. Each further round
-has new projections and looks for neighbours in other groups only, so lists full of a vector's own group
-hide nothing; rounds go on until no groups merge. Links within a group are then counted in tiles that
+of a vector, forward and backward, are compared with each other, and every vector keeps its best. A list
+that holds links only is saturated: it may hide more links, so it is doubled before the next join, up to
+WIDEST entries. Threshold edges of the lists connect vectors into groups. What even the widest list cannot
+hold is not lost: all that is compared also reports a spanning forest of its links. Each further round has
+new projections and looks for neighbours in other groups only; rounds go on until no groups merge. Links within a group are then counted in tiles that
 report counts and never list pairs. A stated sample of vectors is compared with all rows to audit the
 recall, by vector and for vectors with few links, and rounds are added until both are high enough.
 """
@@ -25,7 +25,8 @@ from .components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LIST = 8
+# Entries of a neighbour list at first, and at most after saturated ones were doubled.
+LIST, WIDEST = 8, 32
 LEAF = 512
 # Members of a pivot that are compared with each other at a time.
 RUN = 96
@@ -33,8 +34,8 @@ TILE = 512
 TABLES = 6
 # Vectors to a bucket of a projection table that the number of directions aims at, times the labels.
 BUCKET = 3500
-# Vectors of the audit: those with an id divisible by this; all of a table of at most SMALL vectors.
-AUDIT_EVERY, SMALL = 20, 8192
+# Vectors of the audit: those with an id divisible by this.
+AUDIT_EVERY = 20
 RECALL = 0.98
 # Most projection tables; all vectors are compared with all if the recall does not hold with these.
 MOST_TABLES = 8 * TABLES
@@ -103,23 +104,25 @@ def _in_groups(batches, key: str, size: int):
         yield held
 
 
-def _compared(group, threshold: float, k: int) -> pa.RecordBatch:
-    """The `k` most similar vectors of other groups for each vector of a tile, and bridges between groups.
+def _compared(group, threshold: float) -> pa.RecordBatch:
+    """The `width` most similar vectors of other groups for each vector of a tile, and bridges between groups.
 
     The bridges are a spanning forest of all links >= threshold that the tile holds between groups.
     """
-    ids, parts = (np.concatenate([b.column(c).to_numpy() for b in group]) for c in ("id", "component"))
+    ids, parts, wide = (np.concatenate([b.column(c).to_numpy() for b in group]) for c in ("id", "component", "width"))
     blocks = [_unit(b, "unit") for b in group]
     width = max(b.shape[1] for b in blocks)
     units = np.concatenate([np.pad(b, ((0, 0), (0, width - b.shape[1]))) for b in blocks])
     near = units @ units.T
     near[parts[:, None] == parts[None, :]] = -2.0
-    size = min(k, len(ids) - 1)
+    size = min(int(wide.max(initial=0)), len(ids) - 1)
     src, dst, cosine = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     if size > 0:
         best = np.argpartition(-near, size - 1, axis=1)[:, :size]
+        order = np.argsort(-np.take_along_axis(near, best, axis=1), axis=1)
+        best = np.take_along_axis(best, order, axis=1)
         cosine = np.take_along_axis(near, best, axis=1).ravel()
-        good = cosine > -1.5
+        good = (cosine > -1.5) & (np.arange(size) < wide[:, None]).ravel()
         src, dst, cosine = np.repeat(np.arange(len(ids)), size)[good], best.ravel()[good], cosine[good]
     linked = near >= threshold
     seen = ~linked.any(axis=1)
@@ -142,7 +145,7 @@ def _compared(group, threshold: float, k: int) -> pa.RecordBatch:
     )
 
 
-def leaf_neighbours(vectors: DataFrame, tables: range, bits: int, threshold: float, k: int = LIST) -> DataFrame:
+def leaf_neighbours(vectors: DataFrame, tables: range, bits: int, threshold: float) -> DataFrame:
     """Best neighbours in other groups, and bridges to them, within the leaves of random projections.
 
     In each table a vector's side of `bits` random directions names its bucket and a further one orders it
@@ -157,49 +160,64 @@ def leaf_neighbours(vectors: DataFrame, tables: range, bits: int, threshold: flo
                 sides = units @ directions.T
                 code = ((sides[:, :bits] > 0) << np.arange(bits)).sum(axis=1) + (t << bits)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("component"), batch.column("label"), pa.array(code, pa.int64()),
-                     pa.array(np.ascontiguousarray(sides[:, bits])), batch.column("unit")],
-                    names=["id", "component", "label", "code", "place", "unit"],
+                    [batch.column("id"), batch.column("component"), batch.column("width"), batch.column("label"),
+                     pa.array(code, pa.int64()), pa.array(np.ascontiguousarray(sides[:, bits])), batch.column("unit")],
+                    names=["id", "component", "width", "label", "code", "place", "unit"],
                 )
 
     kind = vectors.schema["label"].dataType.simpleString()
-    spread = vectors.select("id", "component", "label", "unit").mapInArrow(project, f"id long, component long, label {kind}, code long, place double, unit array<double>")
-    keyed = spread.select("id", "component", F.xxhash64("label", "code").alias("key"), "place", "unit")
+    spread = vectors.select("id", "component", "width", "label", "unit").mapInArrow(
+        project, f"id long, component long, width int, label {kind}, code long, place double, unit array<double>")
+    keyed = spread.select("id", "component", "width", F.xxhash64("label", "code").alias("key"), "place", "unit")
     placed = keyed.repartitionByRange(parallel(vectors.sparkSession), "key", "place").sortWithinPartitions(
         "key", "place", "id")
 
     def compare(batches):
         for group in _in_groups(batches, "key", LEAF):
-            yield _compared(group, threshold, k)
+            yield _compared(group, threshold)
 
     return placed.mapInArrow(compare, EDGES)
 
 
-def best_lists(edges: DataFrame, k: int = LIST) -> DataFrame:
-    """The `k` best distinct neighbours of every vector."""
+def best_lists(edges: DataFrame, widths: DataFrame) -> DataFrame:
+    """The best distinct neighbours of every vector, as many as its list is wide.
+
+    `widths` has (id, width) of the lists wider than LIST.
+    """
     once = edges.where("NOT bridge").groupBy("src", "dst").agg(F.max("cosine").alias("cosine"))
     order = Window.partitionBy("src").orderBy(F.desc("cosine"), "dst")
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("src", "dst", "cosine")
+    ranked = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= WIDEST)
+    wide = widths.select(F.col("id").alias("src"), "width")
+    return ranked.join(wide, "src", "left").where(F.col("rank") <= F.coalesce("width", F.lit(LIST))).select("src", "dst", "cosine")
+
+
+def enlarged(lists: DataFrame, widths: DataFrame, threshold: float) -> DataFrame:
+    """`widths` with the saturated lists doubled: those that are full and hold links only, up to WIDEST."""
+    held = lists.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.min("cosine").alias("worst"))
+    both = held.join(widths, "id", "full").withColumn("width", F.coalesce("width", F.lit(LIST)))
+    saturated = (F.col("n") >= F.col("width")) & (F.col("worst") >= threshold)
+    grown = F.when(saturated, F.least(F.col("width") * 2, F.lit(WIDEST))).otherwise(F.col("width"))
+    return both.select("id", grown.cast("int").alias("width")).where(F.col("width") > LIST)
 
 
-def local_join(lists: DataFrame, vectors: DataFrame, seed: int, threshold: float, k: int = LIST) -> DataFrame:
+def local_join(lists: DataFrame, vectors: DataFrame, seed: int, threshold: float) -> DataFrame:
     """Best pairs, and bridges, of different groups among the forward and backward neighbours of every vector.
 
-    A vector that very many others list is a pivot of many members; they come in seeded order and are
-    compared in runs of RUN, other runs in each round.
+    A vector that very many others list is a pivot of many members; a seeded hash deals them to runs of
+    about RUN, other runs in each round, so that no task sees all members of a pivot.
     """
     members = lists.select(F.col("src").alias("pivot"), F.col("dst").alias("id")).union(
         lists.select(F.col("dst").alias("pivot"), F.col("src").alias("id"))).union(
         lists.select(F.col("src").alias("pivot"), F.col("src").alias("id"))).distinct()
-    order = F.xxhash64("id", F.lit(seed))
-    crowd = Window.partitionBy("pivot").orderBy(order)
-    runs = members.withColumn("run", F.floor((F.row_number().over(crowd) - 1) / RUN))
-    keyed = runs.select("id", F.xxhash64("pivot", "run").alias("key")).join(vectors.select("id", "component", "unit"), "id")
+    crowds = members.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / RUN).alias("runs"))
+    runs = members.join(crowds, "pivot").withColumn("run", F.expr(f"pmod(xxhash64(id, {int(seed)}), runs)"))
+    keyed = runs.select("id", F.xxhash64("pivot", "run").alias("key")).join(
+        vectors.select("id", "component", "width", "unit"), "id")
     placed = keyed.repartition(parallel(vectors.sparkSession), "key").sortWithinPartitions("key", "id")
 
     def compare(batches):
         for group in _in_groups(batches, "key", 2 * RUN):
-            yield _compared(group, threshold, k)
+            yield _compared(group, threshold)
 
     return placed.mapInArrow(compare, EDGES)
 
@@ -317,13 +335,14 @@ def near_vectors(
     n = vectors.count()
     # Buckets keep their size as the table grows.
     bits = max(4, math.ceil(math.log2(max(1, n) / BUCKET)))
-    sample = vectors.select("id") if n <= SMALL else base.where(
-        (F.col("id") % AUDIT_EVERY == 0) & F.col("content").isNotNull()).select(F.col("content").alias("id")).distinct()
+    sample = base.where((F.col("id") % AUDIT_EVERY == 0) & F.col("content").isNotNull()).select(
+        F.col("content").alias("id")).distinct()
 
-    def grouped(found: DataFrame) -> DataFrame:
-        """The vectors with the group that the links found so far put them in."""
+    def grouped(found: DataFrame, wide: DataFrame) -> DataFrame:
+        """The vectors with the group that the links found so far put them in, and how wide their lists are."""
         named = found.withColumnRenamed("vertex", "id")
-        return vectors.join(named, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        return vectors.join(named, "id", "left").join(wide, "id", "left").withColumns({
+            "component": F.coalesce("component", "id"), "width": F.coalesce("width", F.lit(LIST))})
 
     def joined_by(links: DataFrame) -> tuple[DataFrame, DataFrame]:
         groups = materialize(components(links, "src", "dst"), "groups")
@@ -334,41 +353,42 @@ def near_vectors(
     lists = rows.sparkSession.createDataFrame([], "src long, dst long, cosine double")
     groups = rows.sparkSession.createDataFrame([], "vertex long, component long")
     counted = rows.sparkSession.createDataFrame([], "id long, links long")
+    widths = rows.sparkSession.createDataFrame([], "id long, width int")
     tables = 0
     while n > 1:
-        placed = grouped(groups)
+        placed = grouped(groups, widths)
         # Neighbours of earlier rounds go on where they are in another group still.
         of = placed.select(F.col("id").alias("src"), F.col("component").alias("own"))
         kept = lists.join(of, "src").join(of.toDF("dst", "other"), "dst").where("own <> other").select(
             "src", "dst", "cosine", F.lit(False).alias("bridge"))
         fresh = materialize(leaf_neighbours(placed, range(tables, tables + TABLES), bits, threshold), "leaves")
         bridges = [fresh.where("bridge").select("src", "dst")]
-        lists = materialize(best_lists(fresh.union(kept)), "lists")
+        lists = materialize(best_lists(fresh.union(kept), widths), "lists")
         near = lists.where(F.col("cosine") >= threshold).count()
         for step in range(3):
-            joined = materialize(local_join(lists, placed, tables + step, threshold), "joined")
+            widths = materialize(enlarged(lists, widths, threshold), "widths")
+            joined = materialize(local_join(lists, grouped(groups, widths), tables + step, threshold), "joined")
             bridges.append(joined.where("bridge").select("src", "dst"))
-            lists = materialize(best_lists(joined.union(lists.withColumn("bridge", F.lit(False)))), "lists")
+            lists = materialize(best_lists(joined.union(lists.withColumn("bridge", F.lit(False))), widths), "lists")
             before, near = near, lists.where(F.col("cosine") >= threshold).count()
             if near == before:
                 break
         tables += TABLES
-        # A list holds no link that its tile has no bridge for.
-        new = bridges[0]
-        for more in bridges[1:]:
+        # Threshold edges of the graph, and the bridges for what the widest lists could not hold.
+        new = lists.where(F.col("cosine") >= threshold).select("src", "dst")
+        for more in bridges:
             new = new.union(more)
-        new = materialize(new.distinct(), "bridges")
+        new = materialize(new.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct(), "edges")
         merged = not new.isEmpty()
         if merged:
             links = links.union(new)
             groups, counted = joined_by(links)
-        audited = materialize(audit(grouped(groups), sample, threshold), "audited")
+        audited = materialize(audit(grouped(groups, widths), sample, threshold), "audited")
         mean, few = recalls(audited, counted)
-        # A sample without links shows nothing, unless it is all vectors.
-        holds = n <= SMALL if mean is None else mean >= RECALL and (few is None or few >= RECALL)
-        done = holds and not merged
-        if not done and tables >= MOST_TABLES:
-            audited, done = materialize(audit(grouped(groups), vectors, threshold), "audited"), True
+        done = not merged and mean is not None and mean >= RECALL and (few is None or few >= RECALL)
+        # A sample without links shows nothing; then, or if the recall never holds, all vectors are audited.
+        if not done and (tables >= MOST_TABLES or (mean is None and not merged)):
+            audited, done = materialize(audit(grouped(groups, widths), vectors, threshold), "audited"), True
         # Links that the audit met are links like all others.
         missed = audited.where("bridge IS NOT NULL").select(F.col("id").alias("src"), F.col("bridge").alias("dst"))
         if not missed.isEmpty():

@@ -129,3 +129,59 @@ def test_recalls_count_vectors_alike(spark):
     mean, few = nn_descent.recalls(audited, counted)
     assert abs(mean - 0.2) < 1e-9 and abs(few - 1 / 9) < 1e-9
     assert nn_descent.recalls(audited.where("id = 20"), counted) == (None, None)
+
+
+def test_saturated_lists_are_doubled(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "WIDEST", 30)
+    lists = [(1, 100 + i, 0.95) for i in range(8)] + [(2, 100 + i, 0.95 - 0.01 * i) for i in range(8)]
+    lists += [(3, 100 + i, 0.99) for i in range(7)] + [(4, 100 + i, 0.99) for i in range(16)] + [(5, 100, 0.5)]
+    lists = spark.createDataFrame(lists, "src long, dst long, cosine double")
+    widths = spark.createDataFrame([(4, 16), (5, 16), (6, 16)], "id long, width int")
+    found = {r.id: r.width for r in nn_descent.enlarged(lists, widths, 0.93).collect()}
+    # Full of links; the widest; wide lists stay so.
+    assert found == {1: 16, 4: 30, 5: 16, 6: 16}
+    edges = spark.createDataFrame([(s, 200 + i, 0.5 + i / 100, False) for s in (1, 2) for i in range(40)], nn_descent.EDGES)
+    kept = nn_descent.best_lists(edges.union(edges), nn_descent.enlarged(lists, widths, 0.93)).groupBy("src").count().collect()
+    assert {r.src: r["count"] for r in kept} == {1: 16, 2: 8}
+
+
+def planted_pairs(n, pairs, seed):
+    """`n` unrelated vectors of 32 components, and for the first of them a partner at cosine 0.932 to 0.97."""
+    rng = np.random.default_rng(seed)
+    unit = rng.standard_normal((n, 32))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    rows = [(i, unit[i].tolist(), int(i % 2)) for i in range(n)]
+    for i in range(pairs):
+        away = rng.standard_normal(32)
+        away -= away @ unit[i] * unit[i]
+        cosine = 0.932 + 0.038 * rng.random()
+        partner = cosine * unit[i] + math.sqrt(1 - cosine**2) * away / np.linalg.norm(away)
+        rows.append((n + i, partner.tolist(), int(i % 2)))
+    return rows
+
+
+def test_planted_pairs_by_a_sampled_audit(spark, monkeypatch):
+    # The audit sees every 20th vector only and its own links are left out: the graph has to find the pairs.
+    audit = nn_descent.audit
+    seen = []
+
+    def watched(vectors, sample, threshold):
+        seen.append(sample.count())
+        return audit(vectors, sample, threshold).where("bridge IS NULL")
+
+    monkeypatch.setattr(nn_descent, "audit", watched)
+    rows = planted_pairs(2400, 400, 11)
+    found = nn_descent.near_vectors(table(spark, rows)).collect()
+    expected = plain(rows, 0.93)
+    assert max(seen) == len(rows) // 20
+    links = sum(n for _, n, _ in expected)
+    assert links >= 800
+    got = {r.vec_id: (r.n_links, r.component_id) for r in found}
+    right = sum(min(got[i][0], n) for i, n, _ in expected)
+    assert right >= 0.99 * links and all(got[i][0] <= n for i, n, _ in expected)
+
+
+def test_no_links_at_all(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.standard_normal(40).tolist(), 0) for i in range(300)]
+    assert {r.n_links for r in nn_descent.near_vectors(table(spark, rows)).collect()} == {0}
