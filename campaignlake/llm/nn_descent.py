@@ -357,18 +357,29 @@ def near_vectors(
     tables = 0
     while n > 1:
         placed = grouped(groups, widths)
-        # Neighbours of earlier rounds go on where they are in another group still.
-        of = placed.select(F.col("id").alias("src"), F.col("component").alias("own"))
-        kept = lists.join(of, "src").join(of.toDF("dst", "other"), "dst").where("own <> other").select(
-            "src", "dst", "cosine", F.lit(False).alias("bridge"))
         fresh = materialize(leaf_neighbours(placed, range(tables, tables + TABLES), bits, threshold), "leaves")
-        bridges = [fresh.where("bridge").select("src", "dst")]
-        lists = materialize(best_lists(fresh.union(kept), widths), "lists")
+        # Links of the leaves join groups at once, so that the joins below need not compare a group with itself.
+        bridges = materialize(fresh.where("bridge").select("src", "dst").distinct(), "bridges")
+        merged = not bridges.isEmpty()
+        if merged:
+            links = links.union(bridges)
+            groups = materialize(components(links, "src", "dst"), "groups")
+            placed = grouped(groups, widths)
+        of = materialize(placed.select(F.col("id").alias("src"), F.col("component").alias("own")), "own")
+
+        def across(edges: DataFrame) -> DataFrame:
+            """The neighbours, also those of earlier rounds, that are in another group still."""
+            return edges.join(of, "src").join(of.toDF("dst", "other"), "dst").where("own <> other").select(
+                "src", "dst", "cosine", F.lit(False).alias("bridge"))
+
+        near_leaf = fresh.where("NOT bridge").select("src", "dst", "cosine")
+        lists = materialize(best_lists(across(near_leaf.union(lists)), widths), "lists")
         near = lists.where(F.col("cosine") >= threshold).count()
+        found = []
         for step in range(3):
             widths = materialize(enlarged(lists, widths, threshold), "widths")
             joined = materialize(local_join(lists, grouped(groups, widths), tables + step, threshold), "joined")
-            bridges.append(joined.where("bridge").select("src", "dst"))
+            found.append(joined.where("bridge").select("src", "dst"))
             lists = materialize(best_lists(joined.union(lists.withColumn("bridge", F.lit(False))), widths), "lists")
             before, near = near, lists.where(F.col("cosine") >= threshold).count()
             if near == before:
@@ -376,13 +387,14 @@ def near_vectors(
         tables += TABLES
         # Threshold edges of the graph, and the bridges for what the widest lists could not hold.
         new = lists.where(F.col("cosine") >= threshold).select("src", "dst")
-        for more in bridges:
+        for more in found:
             new = new.union(more)
         new = materialize(new.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct(), "edges")
-        merged = not new.isEmpty()
+        if not new.isEmpty():
+            merged, links = True, links.union(new)
+            groups = materialize(components(links, "src", "dst"), "groups")
         if merged:
-            links = links.union(new)
-            groups, counted = joined_by(links)
+            counted = materialize(group_links(vectors, groups, threshold), "counted")
         audited = materialize(audit(grouped(groups, widths), sample, threshold), "audited")
         mean, few = recalls(audited, counted)
         done = not merged and mean is not None and mean >= RECALL and (few is None or few >= RECALL)
