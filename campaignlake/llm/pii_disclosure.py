@@ -169,23 +169,48 @@ def disclosing_terms(keyed: DataFrame, spans: DataFrame, settings: Disclosure) -
     return rated.select("entity", "term", action.alias("action"), "ratio").where("action IS NOT NULL")
 
 
+def _forms_of(text: str) -> Column:
+    """The distinct terms of a text as they are written."""
+    return F.array_distinct(F.regexp_extract_all(_without_addresses(text), F.lit(TERM), F.lit(0)))
+
+
+def _patterns(forms: DataFrame) -> DataFrame:
+    """(key_id, key_text, pattern): one pattern of all written forms of a document.
+
+    Forms are letters and marks, so nothing needs escaping. They are grouped by their first two characters:
+    a place in the text tries the beginnings, and only one beginning's forms.
+    """
+    document = ["key_id", "key_text"]
+    begun = forms.withColumn("head", F.substring("form", 1, 2)).groupBy(*document, "head").agg(
+        F.concat_ws("|", F.sort_array(F.collect_set(F.expr("substring(form, 3)")))).alias("tails"))
+    listed = begun.groupBy(*document).agg(F.concat_ws("|", F.sort_array(F.collect_list(
+        F.concat("head", F.lit("(?:"), "tails", F.lit(")"))))).alias("forms"))
+    around = r"[\p{L}\p{M}]"
+    return listed.select(*document, F.concat(
+        F.lit(rf"(?<!{around})(?:"), "forms", F.lit(rf")(?!{around})")).alias("pattern"))
+
+
 def term_spans(keyed: DataFrame, marked: DataFrame) -> DataFrame:
-    """(key_id, key_text, kind, start, end) of all places of the terms of `marked` (term, strong)."""
+    """(key_id, key_text, kind, start, end) of all places of the terms of `marked` (term, strong).
+
+    A document is searched for the forms it is known to hold, so only their places become rows.
+    """
     document = ["key_id", "key_text"]
     marked = broadcast_checked(marked)
-    found = keyed.select(*document, F.explode(_terms_of("text")).alias("term")).join(marked, "term")
-    holders = found.select(*document).distinct()
-    blank = keyed.join(holders, document, "left_semi").dropDuplicates(document).select(
-        *document, _without_addresses("text").alias("text")).select(
-        *document, F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("hits"), F.split("text", TERM, -1).alias("gaps"))
-    lengths = F.zip_with("hits", F.expr("slice(gaps, 1, size(hits))"), lambda hit, gap: F.struct(
-        F.lower(hit).alias("term"), F.length(hit).alias("size"), F.length(gap).alias("gap")))
-    rows = blank.select(*document, F.posexplode(lengths).alias("at", "z")).select(*document, "at", "z.*")
+    forms = keyed.select(*document, F.explode(_forms_of("text")).alias("form")).join(
+        marked.select("term"), F.lower("form") == F.col("term"), "left_semi")
+    holders = materialize(_patterns(forms), "holders")
+    searched = keyed.join(holders, document).select(*document, "pattern", _without_addresses("text").alias("text"))
+    places = F.arrays_zip(
+        F.regexp_extract_all("text", F.col("pattern"), F.lit(0)).alias("hit"),
+        F.transform(F.split("text", F.col("pattern"), -1), F.length).alias("gap"))
+    rows = searched.select(*document, F.posexplode(places).alias("at", "z")).select(*document, "at", "z.*").where(
+        "hit IS NOT NULL").dropDuplicates([*document, "at"])
     upto = Window.partitionBy(*document).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("end", F.sum((F.col("gap") + F.col("size")).cast("long")).over(upto))
+    placed = rows.withColumn("end", F.sum((F.col("gap") + F.length("hit")).cast("long")).over(upto))
     named = F.when(F.col("strong"), REMOVED).otherwise(GENERALISED)
-    return placed.join(marked, "term").select(
-        *document, named.alias("kind"), (F.col("end") - F.col("size")).alias("start"), "end")
+    return placed.join(marked, F.lower("hit") == F.col("term")).select(
+        *document, named.alias("kind"), (F.col("end") - F.length("hit")).alias("start"), "end")
 
 
 def find_spans(docs: DataFrame, settings: Disclosure = Disclosure(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

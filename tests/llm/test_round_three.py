@@ -8,9 +8,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from campaignlake.llm import chat_parts, phrases, sharding, spelling, toxicity_pu
+from campaignlake.llm import chat_parts, phrases, pii_disclosure, sharding, spelling, toxicity_pu
 
 from . import brute
 from .conftest import frame, sentence
@@ -288,3 +289,27 @@ def test_repeated_ids_are_one_training_row(spark):
     labels = spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in range(0, 600, 2)], "doc_id long, quality int, toxic int")
     once = toxicity_pu.fit(frame(spark, rows), labels)
     assert toxicity_pu.fit(frame(spark, rows + rows[:200]), labels).weights == once.weights
+
+
+# 4 Places of terms -----------------------------------------------------------------------------
+
+def test_places_of_marked_terms_against_a_plain_search(spark):
+    rng = random.Random(31)
+    words = ["ab", "abc", "Abc", "ABC", "abcd", "é", "Élan", "élan", "éa", "́ab", "x", "zz", "ab1", "9ab",
+             "abc@ab.zz", "ab@abc", "\U0001d5baab", "ab.", "(abc)", "-", "q" * 40]
+    texts = ["", "abc", "abc abc", *["".join(rng.choice(words) + rng.choice([" ", "  ", "\n", "-", ""]) for _ in range(n))
+                                     for n in [1, 2, 5, 30, 30, 300, 3000]]]
+    strong = {"abc": True, "ab": False, "élan": True, "zz": False, "éa": False, "\U0001d5baab": True, "none": True}
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, texts[5]), (5, texts[6])]
+    keyed = spark.createDataFrame([(i, hash(t) % 1000, t) for i, t in rows], "key_id long, key_text long, text string")
+    marked = spark.createDataFrame(list(strong.items()), "term string, strong boolean")
+    found = sorted(tuple(r) for r in pii_disclosure.term_spans(keyed, marked).collect())
+    expected = set()
+    for i, t in rows:
+        blank = regex.sub(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: " " * len(m[0]), t)
+        for m in regex.finditer(r"(?<![\p{L}\p{M}])\p{L}[\p{L}\p{M}]+", blank):
+            if m[0].lower() in strong:
+                expected.add((i, hash(t) % 1000, "removed" if strong[m[0].lower()] else "generalised", *m.span()))
+    assert found == sorted(expected) and len(found) > 500
+    assert pii_disclosure.term_spans(keyed, marked.limit(0)).collect() == []
+    assert pii_disclosure.term_spans(keyed.limit(0), marked).collect() == []
