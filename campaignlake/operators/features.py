@@ -198,7 +198,8 @@ def feature_contract(spark: SparkSession) -> DataFrame:
 def attach_target(features: DataFrame, targets: DataFrame, key: str, target: str = "subscribed") -> DataFrame:
     """Join features and target on their key; fails when a key repeats or is on one side only.
 
-    Both checks run before the join is returned, over the keys alone.
+    Both checks run before the join is returned, over the keys alone. Both sides have a row per key, so neither
+    is broadcast, however small a well compressed file makes its columns look.
     """
     sides = features.select(key, F.lit(1).alias("_f"), F.lit(0).alias("_t")).unionAll(
         targets.select(key, F.lit(0).alias("_f"), F.lit(1).alias("_t")))
@@ -212,7 +213,7 @@ def attach_target(features: DataFrame, targets: DataFrame, key: str, target: str
             f"Feature and target keys are not aligned: {wrong['repeated']} keys repeat, {wrong['apart']} are on one side "
             f"only, {wrong['missing']} are null."
         )
-    return features.join(targets.select(key, target), key)
+    return features.join(targets.select(key, target).hint("merge"), key)
 
 
 def check_split(

@@ -102,3 +102,10 @@ def test_attach_target_rejects_other_keys(spark):
         f.attach_target(features, rows.union(rows.where("id = 5")), "id")
     with pytest.raises(ValueError, match="1 keys repeat"):
         f.attach_target(features.union(features.where("id = 5")), rows, "id")
+
+
+def test_attach_target_broadcasts_neither_side(spark):
+    rows = _raw(spark)
+    joined = f.attach_target(f.engineer_features(rows, ["id"]), rows, "id")
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["id"] for r in joined.select("id").collect()) == sorted(r["id"] for r in rows.select("id").collect())
