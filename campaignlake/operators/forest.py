@@ -38,6 +38,8 @@ _MIX = (0x1E3779B97F4A7C15, 0x3F58476D1CE4E5B9)
 _ROW, _TREE, _NODE = 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x14057B7EF767814F
 # Probabilities are summed as whole numbers of this unit, so sums do not depend on their order.
 UNIT = 1 << 40
+# Rows that a task counts at a time: counts of all open nodes are added once for them, not once per Arrow batch.
+COUNT_ROWS = 1 << 17
 
 
 def hashed(x: np.ndarray) -> np.ndarray:
@@ -63,7 +65,15 @@ def bag(rows: np.ndarray, tree: int, rate: float, seed: int) -> np.ndarray:
     mask = 2**64 - 1
     salt = np.uint64(((seed * _ROW) ^ (tree * _TREE)) & mask)
     draw = hashed(hashed(rows.view(np.uint64)) ^ salt) >> np.uint64(11)
-    return np.searchsorted(np.array(poisson_cuts(rate), dtype=np.uint64), draw, side="right")
+    # Few draws reach a further step, so each step looks at those only that reached the one before.
+    times, at = np.zeros(len(draw), dtype=np.int64), np.arange(len(draw))
+    for cut in poisson_cuts(rate):
+        reached = draw >= np.uint64(cut)
+        at, draw = at[reached], draw[reached]
+        if not len(at):
+            break
+        times[at] += 1
+    return times
 
 
 @dataclass(frozen=True)
@@ -322,13 +332,14 @@ def grow_over_partitions(
 
         def count(batches):
             sums: list[np.ndarray | None] = [None] * len(shared.value)
-            for batch in batches:
-                number, label, bins = matrix(pa.Table.from_batches([batch]))
+            for table in joined(batches, COUNT_ROWS):
+                number, label, bins = matrix(table)
                 for i, growth in enumerate(shared.value):
                     weight = bag(number, growth.number, growth.params.max_samples or 1.0, growth.seed)
-                    node = _open_node(growth, bins)
-                    held = np.flatnonzero((weight > 0) & (node >= 0))
-                    found = growth.counts(bins[held], coded(label[held], weight[held]), node[held])
+                    held = np.flatnonzero(weight)
+                    node = _open_node(growth, bins, held)
+                    held, node = held[node >= 0], node[node >= 0]
+                    found = growth.counts(bins[held], coded(label[held], weight[held]), node)
                     sums[i] = found if sums[i] is None else sums[i] + found
             for growth, found in zip(shared.value, sums):
                 if found is None:
@@ -355,14 +366,27 @@ def grow_over_partitions(
     return [growths[t].tree() for t in trees]
 
 
-def _open_node(growth: Growth, bins: np.ndarray) -> np.ndarray:
-    """The open node that each row stands at, -1 if its path has ended."""
-    node, rows = np.zeros(len(bins), dtype=np.int64), np.arange(len(bins))
+def joined(batches, rows: int):
+    """Tables of successive batches, of at least `rows` rows but for the last one."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _open_node(growth: Growth, bins: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """The open node that each of the rows `held` stands at, -1 if its path has ended."""
+    node, rows = np.zeros(len(held), dtype=np.int64), np.arange(len(held))
     for _ in range(growth.level_now):
         at = node[rows]
         inner = growth.feature[at] >= 0
         rows, at = rows[inner], at[inner]
-        node[rows] = growth.child[at] + (bins[rows, growth.feature[at]] > growth.cut[at])
+        node[rows] = growth.child[at] + (bins[held[rows], growth.feature[at]] > growth.cut[at])
     return growth.place[node]
 
 

@@ -216,3 +216,19 @@ def test_journals_differ_by_rows_and_settings(signal):
     assert path == tuning.journal_path(folds_of(signal.repartition(3)), SETTINGS, "id", "label", 5)
     assert path != tuning.journal_path(folds, SETTINGS, "id", "label", 6)
     assert path != tuning.journal_path(folds_of(signal.where("id <> 9")), SETTINGS, "id", "label", 5)
+
+
+def test_batches_are_counted_together():
+    batches = [fo.pa.RecordBatch.from_pydict({"row": list(range(i, i + 3))}) for i in range(0, 15, 3)]
+    tables = list(fo.joined(iter(batches), 6))
+    assert [t.num_rows for t in tables] == [6, 6, 3]
+    assert [x for t in tables for x in t.column("row").to_pylist()] == list(range(15))
+
+
+def test_bags_count_the_steps_that_a_draw_reaches():
+    rows = np.arange(50_000)
+    for rate in (0.7, 0.85, 1.0):
+        salt = np.uint64(((42 * fo._ROW) ^ (3 * fo._TREE)) & (2**64 - 1))
+        draw = fo.hashed(fo.hashed(rows.view(np.uint64)) ^ salt) >> np.uint64(11)
+        plain = np.searchsorted(np.array(fo.poisson_cuts(rate), dtype=np.uint64), draw, side="right")
+        assert (fo.bag(rows, 3, rate, 42) == plain).all()
