@@ -182,3 +182,27 @@ def test_donor_oracle_covers_all_features_and_repeats():
 
     assert all(f'"donor_{c}"' in ORACLES["shuffled_donors"] for c in MODEL_FEATURES)
     assert all(f":{42 + r}'" in ORACLES["shuffled_donors"] for r in range(11))
+
+
+def test_fit_partitions_do_not_grow_like_the_rows(spark):
+    found = {n: m.fit_layout(spark.range(10).withColumn("label", F.lit(1)), n, "id").rdd.getNumPartitions()
+             for n in (10, 10_000, 720_000, 7_200_000)}
+    assert found == {10: 1, 10_000: 2, 720_000: 24, 7_200_000: 24}
+    assert m.fit_partitions(43_200_000) * m.FIT_MOST_ROWS >= 43_200_000
+
+
+def test_node_ids_are_kept_where_few_and_never_stored(spark, planted, monkeypatch):
+    ready = Pipeline(stages=m.preprocessing_stages()).fit(planted).transform(planted).select("id", "subscribed", "features")
+    made, forest = [], m.RandomForestClassifier
+
+    def record(**settings):
+        made.append((settings["cacheNodeIds"], settings["checkpointInterval"]))
+        return forest(**settings)
+
+    monkeypatch.setattr(m, "RandomForestClassifier", record)
+    scores = []
+    for most in (m.NODE_ID_BYTES, 4 * 1200 * 10 - 1):
+        monkeypatch.setattr(m, "NODE_ID_BYTES", most)
+        model = m.fit_classifier(m.ModelSpec("forest", "forest", True, FOREST), ready, "subscribed", key="id")
+        scores.append(sorted(tuple(r) for r in m.score(model, ready).select("id", "score").collect()))
+    assert made == [(True, -1), (False, -1)] and scores[0] == scores[1]
