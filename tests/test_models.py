@@ -206,3 +206,18 @@ def test_node_ids_are_kept_where_few_and_never_stored(spark, planted, monkeypatc
         model = m.fit_classifier(m.ModelSpec("forest", "forest", True, FOREST), ready, "subscribed", key="id")
         scores.append(sorted(tuple(r) for r in m.score(model, ready).select("id", "score").collect()))
     assert made == [(True, -1), (False, -1)] and scores[0] == scores[1]
+
+
+def test_importance_makes_only_what_the_model_reads(spark, planted, monkeypatch):
+    prior = m.fit_final(m.ModelSpec("dummy_prior", "prior"), planted, "subscribed", key="id")
+    seen, precision = [], m.average_precision
+
+    def record(df, by=()):
+        seen.append(df)
+        return precision(df, by)
+
+    monkeypatch.setattr(m, "average_precision", record)
+    assert all(r["importance_mean"] == 0 for r in m.permutation_importance(prior, planted, "id", "subscribed", repeats=2).collect())
+    plan = seen[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "donor" not in plan
+    assert seen[1].count() == 2 * 13 * 1200
