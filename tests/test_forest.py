@@ -1,5 +1,10 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -232,3 +237,64 @@ def test_bags_count_the_steps_that_a_draw_reaches():
         draw = fo.hashed(fo.hashed(rows.view(np.uint64)) ^ salt) >> np.uint64(11)
         plain = np.searchsorted(np.array(fo.poisson_cuts(rate), dtype=np.uint64), draw, side="right")
         assert (fo.bag(rows, 3, rate, 42) == plain).all()
+
+
+def one_hot(n=3000):
+    """(rows, bins, label, widths): two wide slots, two categories of one-hot slots, a flag and a constant slot."""
+    rows = np.arange(n)
+    h = [fo.hashed(rows + 7919 * k) >> np.uint64(40) for k in range(6)]
+    a, b = (h[2] % np.uint64(4)).astype(int), (h[3] % np.uint64(30)).astype(int)
+    bins = np.column_stack([h[0] % np.uint64(32), h[1] % np.uint64(5), np.eye(4)[a], np.eye(30)[b], h[4] % np.uint64(9) == 0, np.zeros(n)])
+    bins = np.ascontiguousarray(bins, dtype=np.uint8)
+    label = ((h[5] % np.uint64(100)) < 20 + 30 * (bins[:, 0] > 20) * (a == 1) + 20 * (b < 9)).astype(np.int32)
+    return rows, bins, label, np.array([32, 5, *[2] * 35, 1])
+
+
+@pytest.mark.parametrize("times", [1, 1 << 14])  # few draws, whose counts share a number, and too many for that
+@pytest.mark.parametrize("p", PARAMS)
+def test_counting_all_slots_grows_the_trees_of_the_drawn_ones(monkeypatch, p, times):
+    rows, bins, label, widths = one_hot()
+    real = fo.bag
+    monkeypatch.setattr(fo, "bag", lambda *x: real(*x) * times)
+    weights = fo.class_weights(p, {c: int((label == c).sum()) for c in (0, 1)})
+    for number in range(3):
+        monkeypatch.setattr(fo, "MOST_GROUPS", 100)
+        found = fo.grow_tree(rows, bins, label, widths, number, p, 7, weights)
+        monkeypatch.setattr(fo, "MOST_GROUPS", 0)
+        drawn = fo.grow_tree(rows, bins, label, widths, number, p, 7, weights)
+        assert len(found.feature) > 20
+        for name in ("feature", "cut", "child", "value", "level"):
+            assert np.array_equal(getattr(found, name), getattr(drawn, name))
+
+
+def test_slots_of_a_category_are_one_value():
+    rows, bins, label, widths = one_hot()
+    groups = fo.slot_groups(bins, widths)
+    assert sum(1 if left is None else left.shape[1] for _, _, left in groups) == len(widths)
+    assert len(groups) <= 5
+    for first, value, left in groups:
+        if left is not None:
+            assert len(left) <= fo.GROUP_VALUES
+            assert np.array_equal(1 - left[value], bins[:, first:first + left.shape[1]])
+
+
+def test_only_the_smaller_child_is_counted(monkeypatch):
+    rows, bins, label, widths = one_hot()
+    counted, real = [], fo.Sums.of
+    monkeypatch.setattr(fo.Sums, "of", lambda self, rows, node, nodes: counted.append(len(rows)) or real(self, rows, node, nodes))
+    tree = fo.grow_tree(rows, bins, label, widths, 0, fo.TreeParams(8, max_features=0.5), 7, (1.0, 1.0))
+    assert tree.level.max() == 8 and len(counted) == 8
+    assert max(counted[1:]) <= counted[0] / 2
+
+
+def test_a_split_size_that_leaves_rule_out_sets_no_family_apart():
+    a = {"n_estimators": 3, "min_samples_leaf": 20, "min_samples_split": 5}
+    b, c = {**a, "min_samples_split": 10, "n_estimators": 5}, {**a, "min_samples_split": 41}
+    assert [sorted(x) for x in tuning.families({"a": a, "b": b, "c": c})] == [["a", "b"], ["c"]]
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    sent = cloudpickle.dumps((fo.grow_tree, tuning._add, tuning._sums))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'campaignlake' not in sys.modules"
+    subprocess.run([sys.executable, "-c", load], input=sent, cwd=tmp_path, env=env, check=True)
