@@ -7,15 +7,18 @@ of bagged rows per class and bin, whole numbers that add up exactly in any order
 afterwards.
 
 Trees grow in one of two ways with equal results. `grow_trees` has a task grow whole trees on rows that are
-broadcast, which must be few enough for that. `grow_over_partitions` leaves the rows where they are: each
-level is one pass over them, whose tasks emit the counts of their rows, and the counts are summed by a shuffle.
+broadcast, which must be few enough for that. `grow_over_partitions` leaves the rows where they are, packed in
+blocks: each level is one pass over them, whose tasks emit the counts of their rows, and the counts are summed by
+a shuffle. Both count all slots of the smaller child of each split where they can.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import sys
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,8 +41,12 @@ _MIX = (0x1E3779B97F4A7C15, 0x3F58476D1CE4E5B9)
 _ROW, _TREE, _NODE = 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D, 0x14057B7EF767814F
 # Probabilities are summed as whole numbers of this unit, so sums do not depend on their order.
 UNIT = 1 << 40
-# Rows that a task counts at a time: counts of all open nodes are added once for them, not once per Arrow batch.
-COUNT_ROWS = 1 << 17
+# Rows of a packed block, which a task counts at a time: few enough for a core's cache.
+COUNT_ROWS = 1 << 15
+# Trees that a pass over packed rows grows, and how many such passes run side by side.
+PASS_TREES, PASSES = 20, 2
+# Bytes of counts of all slots that the trees of a pass keep on the driver; one beyond its share counts drawn slots.
+SUM_BYTES = 192 << 20
 # A tree on broadcast rows counts all slots while their groups are at most so many times the slots drawn for a node.
 MOST_GROUPS = 4
 # Combinations of two-bin slots that are counted as one value, and cuts that are compared at a time.
@@ -54,8 +61,10 @@ def looked_up(table: np.ndarray, at: np.ndarray) -> np.ndarray:
 def hashed(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit numbers."""
     x = x.astype(np.uint64) * np.uint64(_MIX[0])
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(_MIX[1])
-    return x ^ (x >> np.uint64(32))
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(_MIX[1])
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def poisson_cuts(rate: float) -> list[int]:
@@ -71,11 +80,21 @@ def poisson_cuts(rate: float) -> list[int]:
 
 def bag(rows: np.ndarray, tree: int, rate: float, seed: int) -> np.ndarray:
     """How often each row, given by its key, is in the bag of a tree: a Poisson count of mean `rate`."""
+    return reached(draws(hashed(rows.view(np.uint64)), tree, seed), poisson_cuts(rate))
+
+
+def draws(hashes: np.ndarray, tree: int, seed: int) -> np.ndarray:
+    """Draws below 2**53 of a tree for rows given by the hashes of their keys, which serve all trees."""
     mask = 2**64 - 1
     salt = np.uint64(((seed * _ROW) ^ (tree * _TREE)) & mask)
-    draw = hashed(hashed(rows.view(np.uint64)) ^ salt) >> np.uint64(11)
+    draw = hashed(hashes ^ salt)
+    draw >>= np.uint64(11)
+    return draw
+
+
+def reached(draw: np.ndarray, cuts: Sequence[int]) -> np.ndarray:
+    """How many of the rising `cuts` each draw reaches."""
     # Few draws reach a fourth step, so each further one looks at those only that reached the one before.
-    cuts = poisson_cuts(rate)
     times = np.zeros(len(draw), dtype=np.int64)
     for cut in cuts[:3]:
         times += draw >= np.uint64(cut)
@@ -190,6 +209,17 @@ class Growth:
         cuts[(self.starts + self.width - 1)[self.width > 1]] = False
         self.divide(*self.best(left[:, cuts]))
 
+    def split_by(self, left) -> tuple[np.ndarray, np.ndarray]:
+        """`divide` by the counts `left(a, b)` of what each cut sends to the left, some open nodes at a time.
+
+        Gives the open nodes that were split and the counts of their children.
+        """
+        per_node = self.params.features(len(self.widths)) * -(-all_cuts(self.widths)[0] // len(self.widths))
+        step = max(1, BLOCK_CUTS // per_node)
+        found = [self.best(left(a, a + step), a, a + step) for a in range(0, len(self.open), step)]
+        own, slot, cut, goes = (np.concatenate(x, axis=-1) for x in zip(*found))
+        return own, self.divide(own, slot, cut, goes)
+
     def cut_layout(self, a: int = 0, b: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Cuts of each drawn slot of open nodes `a` to `b`, and where they stand. The last bin of a slot divides nothing."""
         cuts = slot_cuts(self.widths)[self.features[a:b]]
@@ -258,6 +288,27 @@ class Growth:
         may = (counts[0] >= max(2, p.min_samples_split, 2 * p.min_samples_leaf)) & (counts[1] > 0) & (counts[2] > 0)
         return may if p.max_depth is None or level < p.max_depth else np.zeros_like(may)
 
+    def standing(self, bins: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """The node that each of the rows `held` has come to."""
+        leaf = self.feature < 0
+        # One number per node: left child, cut and feature. A row stays at a leaf.
+        child, cut = np.where(leaf, np.arange(len(leaf)), self.child), np.where(leaf, 255, self.cut)
+        nodes = child << 40 | cut << 32 | np.where(leaf, 0, self.feature)
+        flat, node, rows = bins.reshape(-1), np.zeros(len(held), dtype=np.int64), np.arange(len(held))
+        at, first = node.copy(), held * bins.shape[1]
+        for level in range(1, self.level_now + 1):
+            of = looked_up(nodes, at)
+            right = looked_up(flat, first + (of & 0xFFFFFFFF)) > (of >> 32 & 255).astype(np.uint8)
+            at = of >> 40
+            at += right
+            # Rows at leaves are set aside now and then only.
+            if level % 4 == 0 or level == self.level_now:
+                node[rows] = at
+                inner = np.flatnonzero(~looked_up(leaf, at))
+                if len(inner) < len(rows):
+                    rows, at, first = (looked_up(x, inner) for x in (rows, at, first))
+        return node
+
     def tree(self) -> Tree:
         return Tree(self.feature, self.cut, self.child, self.value, self.level)
 
@@ -303,8 +354,7 @@ class Sums:
 
     def __init__(self, groups: Sequence[tuple], widths: np.ndarray, label: np.ndarray, weight: np.ndarray):
         self.groups, self.widths = groups, widths
-        cuts = slot_cuts(widths)
-        self.size, self.starts = int(cuts.sum()), np.cumsum(cuts) - cuts
+        self.size, self.starts = all_cuts(widths)
         one = label == 1
         ones = int(weight[one].sum())
         self.whole = np.array([[np.count_nonzero(weight)], [int(weight.sum()) - ones], [ones]])
@@ -317,8 +367,10 @@ class Sums:
 
     def of(self, rows: np.ndarray, node: np.ndarray, nodes: int) -> np.ndarray:
         """(numbers, nodes, cuts of all slots) of rows of the bag at `nodes` nodes."""
-        out = np.empty((len(self.codes), nodes, self.size))
-        weights = [looked_up(x, rows) for x in self.codes]
+        return self.coded_of([looked_up(x, rows) for x in self.codes], rows, node, nodes)
+
+    def coded_of(self, weights: Sequence[np.ndarray], rows: np.ndarray, node: np.ndarray, nodes: int) -> np.ndarray:
+        out = np.empty((len(weights), nodes, self.size))
         for first, value, left in self.groups:
             bins = int(self.widths[first]) if left is None else len(left)
             at = node * bins
@@ -333,12 +385,13 @@ class Sums:
 
     def drawn(self, sums: np.ndarray, growth: Growth, a: int, b: int) -> np.ndarray:
         """(3, cuts of open nodes `a` to `b`) of the slots that these nodes of a tree may use."""
-        cuts, starts = growth.cut_layout(a, b)
-        base = np.arange(a, a + len(cuts))[:, None] * self.size + self.starts[growth.features[a:b]] - starts
-        at = np.repeat(base.reshape(-1), cuts.reshape(-1))
-        at += np.arange(len(at))
-        found = [looked_up(x.reshape(-1), at).astype(np.int64) for x in sums]
-        out = np.empty((3, len(at)), dtype=np.int64)
+        at = drawn_places(growth, self.size, self.starts, a, b)
+        return self.counts([looked_up(x.reshape(-1), at) for x in sums])
+
+    def counts(self, sums: Sequence[np.ndarray]) -> np.ndarray:
+        """(3, …): the rows, draws of class 0 and draws of class 1 that the numbers of `sums` hold."""
+        found = [x.astype(np.int64) for x in sums]
+        out = np.empty((3, *found[0].shape), dtype=np.int64)
         rest = found[-1]
         if len(found) == 1:
             np.bitwise_and(rest, (1 << self.low) - 1, out=out[0])
@@ -350,6 +403,45 @@ class Sums:
         return out
 
 
+def all_cuts(widths: np.ndarray) -> tuple[int, np.ndarray]:
+    """Cuts of all slots, and where those of each slot begin."""
+    cuts = slot_cuts(widths)
+    return int(cuts.sum()), np.cumsum(cuts) - cuts
+
+
+def drawn_places(growth: Growth, size: int, starts: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Where the cuts of the slots that open nodes `a` to `b` may use stand among all cuts of all open nodes."""
+    cuts, first = growth.cut_layout(a, b)
+    base = np.arange(a, a + len(cuts))[:, None] * size + starts[growth.features[a:b]] - first
+    at = np.repeat(base.reshape(-1), cuts.reshape(-1))
+    at += np.arange(len(at))
+    return at
+
+
+class Children:
+    """The children of a level's splits, of which the smaller of each pair is counted if one of both is open."""
+
+    def __init__(self, growth: Growth, own: np.ndarray, sides: np.ndarray):
+        # Children are numbered by pairs, left ones first; `place` is a child's number among the open nodes.
+        self.place = growth.place[-2 * len(own):]
+        small = 2 * np.arange(len(own)) + (sides[0, ::2] > sides[0, 1::2])
+        large = small ^ 1
+        wanted = (self.place[small] >= 0) | (self.place[large] >= 0)
+        self.small, self.large, self.own = small[wanted], large[wanted], own[wanted]
+        # A counted child's number among these, by child.
+        self.counted = np.full(len(self.place), -1)
+        self.counted[self.small] = np.arange(len(self.small))
+
+    def sums(self, parents: np.ndarray, less: np.ndarray, nodes: int) -> np.ndarray:
+        """Sums of the open nodes: those of the smaller children, and what remains of their parents for the others."""
+        out = np.empty((len(less), nodes, less.shape[2]), dtype=less.dtype)
+        more = self.place[self.large] >= 0
+        out[:, self.place[self.large[more]]] = parents[:, self.own[more]] - less[:, more]
+        more = self.place[self.small] >= 0
+        out[:, self.place[self.small[more]]] = less[:, more]
+        return out
+
+
 def grow_tree(
     rows: np.ndarray, bins: np.ndarray, label: np.ndarray, widths: np.ndarray, number: int, params: TreeParams, seed: int,
     weights: tuple[float, float] | None, groups: Sequence[tuple] | None = None,
@@ -369,12 +461,9 @@ def grow_tree(
     held = np.flatnonzero(weight)
     node = np.zeros(len(held), dtype=np.int64)
     sums, growth.whole = counter.of(held, node, 1), counter.whole
-    step = max(1, BLOCK_CUTS // (params.features(len(widths)) * -(-counter.size // len(widths))))
     while len(growth.open):
         ids = growth.open
-        found = [growth.best(counter.drawn(sums, growth, a, a + step), a, a + step) for a in range(0, len(ids), step)]
-        own, slot, cut, left = (np.concatenate(x, axis=-1) for x in zip(*found))
-        sides = growth.divide(own, slot, cut, left)
+        own, sides = growth.split_by(lambda a, b: counter.drawn(sums, growth, a, b))
         if not len(growth.open):
             break
         # Rows of nodes that are not split go to a last pair, which is never open.
@@ -382,23 +471,12 @@ def grow_tree(
         pair[own] = 2 * np.arange(len(own))
         bin_ = looked_up(flat, held * slots + looked_up(np.maximum(growth.feature[ids], 0), node))
         child = looked_up(pair, node) + (bin_ > looked_up(growth.cut[ids].astype(np.uint8), node))
-        # Children are numbered by pairs, left ones first; `place` is a child's number among the open nodes.
-        place = np.append(growth.place[-2 * len(own):], [-1, -1])
-        small = 2 * np.arange(len(own)) + (sides[0, ::2] > sides[0, 1::2])
-        large = small ^ 1
-        wanted = (place[small] >= 0) | (place[large] >= 0)
-        small, large = small[wanted], large[wanted]
-        counted = np.full(len(place), -1)
-        counted[small] = np.arange(len(small))
-        of = looked_up(counted, child)
+        children = Children(growth, own, sides)
+        of = looked_up(np.append(children.counted, [-1, -1]), child)
         inner = np.flatnonzero(of >= 0)
-        less = counter.of(looked_up(held, inner), looked_up(of, inner), len(small))
-        more = place[large] >= 0
-        parents, sums = sums, np.empty((len(sums), len(growth.open), counter.size))
-        sums[:, place[large[more]]] = parents[:, own[wanted][more]] - less[:, more]
-        more = place[small] >= 0
-        sums[:, place[small[more]]] = less[:, more]
-        node = looked_up(place, child)
+        less = counter.of(looked_up(held, inner), looked_up(of, inner), len(children.small))
+        sums = children.sums(sums, less, len(growth.open))
+        node = looked_up(np.append(children.place, [-1, -1]), child)
         inner = np.flatnonzero(node >= 0)
         held, node = looked_up(held, inner), looked_up(node, inner)
     return growth.tree()
@@ -488,41 +566,148 @@ def class_weights(params: TreeParams, label_counts: Mapping[int, int]) -> tuple[
     return n / (2 * label_counts[0]), n / (2 * label_counts[1])
 
 
+BLOCKS = "row binary, label binary, bins binary, groups binary, many long"
+
+
+def packed(rows: DataFrame, cuts: Sequence[np.ndarray]) -> DataFrame:
+    """A stored table from `binned` as a stored table of blocks of about COUNT_ROWS rows, with their `slot_groups`.
+
+    Each level of each tree reads all rows: a block is read as a few large values, not as values of single rows.
+    """
+    widths = slot_widths(cuts)
+
+    def pack(batches):
+        for table in joined(batches, COUNT_ROWS):
+            row, label, bins = matrix(table)
+            groups = slot_groups(bins, widths)
+            values = [np.ascontiguousarray(x).tobytes() for x in (row, label, bins)] + [pickle.dumps(groups)]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([x], pa.binary()) for x in values], pa.array([len(groups)])], names=["row", "label", "bins", "groups", "many"])
+
+    return materialize(rows.mapInArrow(pack, BLOCKS), "packed")
+
+
+def _blocks(batches, slots: int):
+    """(row, label, bins, groups) of the blocks of a table from `packed`."""
+    for batch in batches:
+        for row, label, bins, groups in zip(*[batch.column(x) for x in ("row", "label", "bins", "groups")]):
+            yield (np.frombuffer(row.as_buffer(), dtype=np.int64), np.frombuffer(label.as_buffer(), dtype=np.int32),
+                   np.frombuffer(bins.as_buffer(), dtype=np.uint8).reshape(-1, slots), pickle.loads(groups.as_buffer()))
+
+
+@dataclass
+class Counting:
+    """What a level counts for a tree: where the rows of each node are counted, by node, in `nodes` places.
+
+    With `every`, all slots are counted, and the whole bag after them at the root; else those drawn for open nodes.
+    """
+
+    growth: Growth
+    at: np.ndarray
+    nodes: int
+    every: bool
+
+    def of(self, hashes: np.ndarray, label: np.ndarray, bins: np.ndarray, groups: Sequence[tuple]) -> np.ndarray:
+        """(3, nodes, counts of a node) of a block's rows in the tree's bag, or (3, counts) of the drawn slots."""
+        growth = self.growth
+        draw, steps = draws(hashes, growth.number, growth.seed), poisson_cuts(growth.params.max_samples or 1.0)
+        held = np.flatnonzero(draw >= np.uint64(steps[0]))
+        place = looked_up(self.at, growth.standing(bins, held))
+        inner = np.flatnonzero(place >= 0)
+        held, place = looked_up(held, inner), looked_up(place, inner)
+        label, weight = looked_up(label, held), reached(looked_up(draw, held), steps)
+        if not self.every:
+            return growth.counts(bins[held], coded(label, weight), place)
+        sums = Sums(groups, growth.widths, label, weight)
+        found = sums.counts(sums.coded_of(sums.codes, held, place, self.nodes))
+        return found if growth.level_now else np.concatenate([found, sums.whole[:, None]], axis=2)
+
+    def pieces(self, counts: np.ndarray, chunk: int):
+        """(first node, counts) in pieces of `chunk` nodes."""
+        growth = self.growth
+        for first in range(0, self.nodes, chunk):
+            stop = min(first + chunk, self.nodes)
+            if self.every:
+                yield first, counts[:, first:stop]
+            else:
+                a, b = growth.starts[first, 0], growth.starts[stop - 1, -1] + growth.width[stop - 1, -1]
+                yield first, counts[:, a:b]
+
+
+class Spread:
+    """A tree that grows by counts of rows that lie elsewhere, and of which the driver holds `most` bytes."""
+
+    def __init__(self, growth: Growth, every: bool, most: int):
+        self.growth, self.most = growth, most
+        self.size, self.starts = all_cuts(growth.widths)
+        self.sums, self.children = None, None
+        self.counting = Counting(growth, growth.place, 1, every and self._holds())
+
+    def _holds(self) -> bool:
+        return 24 * self.size * len(self.growth.open) <= self.most
+
+    def grow(self, pieces: Sequence[bytes]) -> None:
+        """A level more, by the summed counts of what `counting` names."""
+        growth, found = self.growth, [np.frombuffer(x, dtype=np.int64) for x in pieces]
+        if not self.counting.every:
+            growth.split(np.concatenate([x.reshape(3, -1) for x in found], axis=1))
+            self.counting = Counting(growth, growth.place, len(growth.open), False)
+            return
+        if self.children is None:
+            root = found[0].reshape(3, 1, -1)
+            growth.whole, self.sums = root[:, :, -1], root[:, :, :-1]
+        else:
+            less = np.concatenate([x.reshape(3, -1, self.size) for x in found], axis=1)
+            self.sums = self.children.sums(self.sums, less, len(growth.open))
+        flat = np.ascontiguousarray(self.sums).reshape(3, -1)
+        own, sides = growth.split_by(
+            lambda a, b: flat.take(drawn_places(growth, self.size, self.starts, a, b), axis=1))
+        if not len(growth.open):
+            return
+        if not self._holds():
+            self.sums = None
+            self.counting = Counting(growth, growth.place, len(growth.open), False)
+            return
+        self.children = Children(growth, own, sides)
+        at = np.full(len(growth.feature), -1)
+        at[-len(self.children.counted):] = self.children.counted
+        self.counting = Counting(growth, at, len(self.children.small), True)
+
+
 def grow_over_partitions(
     rows: DataFrame, cuts: Sequence[np.ndarray], trees: Sequence[int], params: TreeParams, seed: int, chunk: int = 256,
+    blocks: DataFrame | None = None, label_counts: Mapping[int, int] | None = None,
 ) -> list[Tree]:
-    """Trees grown without moving rows: `rows` is a stored table from `binned`, of any size.
+    """Trees grown without moving rows: `rows` is a stored table from `binned`, of any size, and `blocks` it `packed`.
 
     Each level is one job. Its tasks walk their rows down the trees so far and emit counts, summed within
-    the task, in pieces of `chunk` open nodes; sums of a piece meet in one task. The driver holds the trees.
+    the task, in pieces of `chunk` nodes; sums of a piece meet in one task. The driver holds the trees, and the
+    counts of their open nodes while all slots are counted. `label_counts` are the rows per class.
     """
     widths = slot_widths(cuts)
-    counted = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    blocks = packed(rows, cuts) if blocks is None else blocks
+    counted = label_counts or {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     weights = class_weights(params, counted)
-    growths = {t: Growth(t, widths, params, seed, weights) for t in trees}
-    context = rows.sparkSession.sparkContext
-    while active := [g for g in growths.values() if len(g.open)]:
-        shared = context.broadcast(active)
+    many = blocks.agg(F.max("many")).first()[0] or 0
+    every = many <= MOST_GROUPS * params.features(len(widths))
+    spreads = {t: Spread(Growth(t, widths, params, seed, weights), every, SUM_BYTES // max(1, len(trees))) for t in trees}
+    context = blocks.sparkSession.sparkContext
+    while active := [s for s in spreads.values() if len(s.growth.open)]:
+        shared = context.broadcast([s.counting for s in active])
 
         def count(batches):
             sums: list[np.ndarray | None] = [None] * len(shared.value)
-            for table in joined(batches, COUNT_ROWS):
-                number, label, bins = matrix(table)
-                for i, growth in enumerate(shared.value):
-                    weight = bag(number, growth.number, growth.params.max_samples or 1.0, growth.seed)
-                    held = np.flatnonzero(weight)
-                    node = _open_node(growth, bins, held)
-                    held, node = held[node >= 0], node[node >= 0]
-                    found = growth.counts(bins[held], coded(label[held], weight[held]), node)
+            for row, label, bins, groups in _blocks(batches, len(widths)):
+                hashes = hashed(row.view(np.uint64))
+                for i, counting in enumerate(shared.value):
+                    found = counting.of(hashes, label, bins, groups)
                     sums[i] = found if sums[i] is None else sums[i] + found
-            for growth, found in zip(shared.value, sums):
+            for counting, found in zip(shared.value, sums):
                 if found is None:
                     continue
-                for piece in range(0, len(growth.open), chunk):
-                    stop = min(piece + chunk, len(growth.open)) - 1
-                    a, b = growth.starts[piece, 0], growth.starts[stop, -1] + growth.widths[growth.features[stop, -1]]
+                for piece, part in counting.pieces(found, chunk):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([growth.number]), pa.array([piece]), pa.array([found[:, a:b].tobytes()], pa.binary())],
+                        [pa.array([counting.growth.number]), pa.array([piece]), pa.array([part.tobytes()], pa.binary())],
                         names=["tree", "piece", "counts"])
 
         def add(key, table):
@@ -530,14 +715,14 @@ def grow_over_partitions(
             return pa.table({"tree": [key[0].as_py()], "piece": [key[1].as_py()], "counts": pa.array([total.tobytes()], pa.binary())})
 
         schema = "tree long, piece long, counts binary"
-        parts = rows.mapInArrow(count, schema).groupBy("tree", "piece").applyInArrow(add, schema).collect()
+        parts = blocks.mapInArrow(count, schema).groupBy("tree", "piece").applyInArrow(add, schema).collect()
         by_tree: dict[int, list] = {}
         for r in sorted(parts, key=lambda r: (r["tree"], r["piece"])):
-            by_tree.setdefault(r["tree"], []).append(np.frombuffer(r["counts"], dtype=np.int64).reshape(3, -1))
-        for growth in active:
-            growth.split(np.concatenate(by_tree[growth.number], axis=1))
+            by_tree.setdefault(r["tree"], []).append(r["counts"])
+        for spread in active:
+            spread.grow(by_tree[spread.growth.number])
         shared.unpersist()
-    return [growths[t].tree() for t in trees]
+    return [spreads[t].growth.tree() for t in trees]
 
 
 def joined(batches, rows: int):
@@ -553,17 +738,6 @@ def joined(batches, rows: int):
         yield pa.Table.from_batches(held)
 
 
-def _open_node(growth: Growth, bins: np.ndarray, held: np.ndarray) -> np.ndarray:
-    """The open node that each of the rows `held` stands at, -1 if its path has ended."""
-    node, rows = np.zeros(len(held), dtype=np.int64), np.arange(len(held))
-    for _ in range(growth.level_now):
-        at = node[rows]
-        inner = growth.feature[at] >= 0
-        rows, at = rows[inner], at[inner]
-        node[rows] = growth.child[at] + (bins[held[rows], growth.feature[at]] > growth.cut[at])
-    return growth.place[node]
-
-
 def fits_broadcast(rows: DataFrame, cuts: Sequence[np.ndarray], most: int = BROADCAST_BYTES) -> bool:
     """Whether a table from `binned` may be broadcast: a byte per slot and 32 for the rest of a row."""
     return rows.count() * (len(cuts) + 32) <= most
@@ -653,10 +827,16 @@ def fit_forest(
     rows = materialize(binned(train, cuts, key, target), "binned")
     if fits_broadcast(rows, cuts, most):
         return ForestModel(cuts, grow_trees(rows, cuts, n, params, seed))
-    trees = []
-    for at in range(0, n, 16):
-        trees += grow_over_partitions(rows, cuts, range(at, min(n, at + 16)), params, seed)
-    return ForestModel(cuts, trees)
+    blocks = packed(rows, cuts)
+    counted = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+
+    def grow(first: int) -> list[Tree]:
+        numbers = range(first, min(n, first + PASS_TREES))
+        return grow_over_partitions(rows, cuts, numbers, params, seed, blocks=blocks, label_counts=counted)
+
+    # One pass computes while the counts of another are summed and its trees split.
+    with ThreadPoolExecutor(PASSES) as pool:
+        return ForestModel(cuts, [tree for trees in pool.map(grow, range(0, n, PASS_TREES)) for tree in trees])
 
 
 def bag_table(df: DataFrame, key: str, target: str, trees: int, rate: float, seed: int) -> DataFrame:

@@ -86,11 +86,13 @@ class FoldData:
         self.test = materialize(fo.binned(fold.test, self.cuts, key, target), "binned")
         counted = {r["label"]: r["count"] for r in self.train.groupBy("label").count().collect()}
         self.label_counts = {c: counted.get(c, 0) for c in (0, 1)}
-        self.shared = None
+        self.shared, self.blocks = None, None
         if fo.fits_broadcast(self.train, self.cuts, most) and fo.fits_broadcast(self.test, self.cuts, most):
             test = self.test.toArrow()
             parts = fo.matrix(self.train.select("row", "label", "bins").toArrow()), fo.matrix(test), test.column("id").combine_chunks()
             self.shared = self.spark.sparkContext.broadcast(parts)
+        else:
+            self.blocks = fo.packed(self.train, self.cuts)
 
     def schema(self):
         return StructType([self.test.schema["id"], *StructType.fromDDL("model string, label int, total long")])
@@ -142,7 +144,8 @@ def unit_scores(data: FoldData, family: Mapping[str, Mapping], seed: int) -> Dat
         for first in range(0, most, BLOCK):
             numbers = range(first, min(most, first + BLOCK))
             grown = data.spark.sparkContext.broadcast(
-                list(zip(numbers, fo.grow_over_partitions(data.train, data.cuts, numbers, params, seed))))
+                list(zip(numbers, fo.grow_over_partitions(
+                    data.train, data.cuts, numbers, params, seed, blocks=data.blocks, label_counts=data.label_counts))))
 
             def reach(batches, grown=grown):
                 for batch in batches:

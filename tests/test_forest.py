@@ -298,3 +298,29 @@ def test_workers_need_not_have_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'campaignlake' not in sys.modules"
     subprocess.run([sys.executable, "-c", load], input=sent, cwd=tmp_path, env=env, check=True)
+
+
+def test_passes_over_blocks_count_the_smaller_children(data, monkeypatch):
+    cuts, rows, (number, label, bins) = data
+    blocks = fo.packed(rows.repartition(3), cuts)
+    found = [x for batch in blocks.toArrow().to_batches() for x in fo._blocks([batch], len(cuts))]
+    assert len(found) == 3 and sorted(np.concatenate([x[0] for x in found])) == sorted(number)
+    counted, grow = [], fo.Spread.grow
+
+    def record(spread, pieces):
+        counted.append((spread.counting.every, spread.counting.nodes, len(spread.growth.open), spread.growth.level_now))
+        grow(spread, pieces)
+
+    monkeypatch.setattr(fo.Spread, "grow", record)
+    p = fo.TreeParams(5, 2, 3, "sqrt", 0.7, "balanced_subsample")
+    whole = fo.grow_trees(rows, cuts, 3, p, 42)
+    kept = fo.SUM_BYTES
+    # All levels, none, and the first ones: two open nodes take more than 2,500 bytes a tree.
+    for most, levels in ((kept, 5), (0, 0), (3 * 5000, 1)):
+        counted.clear()
+        monkeypatch.setattr(fo, "SUM_BYTES", most)
+        trees = fo.grow_over_partitions(rows, cuts, range(3), p, 42, chunk=2, blocks=blocks)
+        assert all(every == (level < levels) for every, _, _, level in counted)
+        assert all(nodes <= max(1, 2 ** level // 2) for every, nodes, _, level in counted if every)
+        for a, b in zip(whole, trees):
+            assert all(np.array_equal(getattr(a, x), getattr(b, x)) for x in ("feature", "cut", "child", "value", "level"))
