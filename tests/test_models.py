@@ -221,3 +221,30 @@ def test_importance_makes_only_what_the_model_reads(spark, planted, monkeypatch)
     plan = seen[1]._jdf.queryExecution().optimizedPlan().toString()
     assert "donor" not in plan
     assert seen[1].count() == 2 * 13 * 1200
+
+
+@pytest.mark.parametrize("depth", [4, None])
+def test_many_rows_score_as_by_sparks_forest(spark, planted, depth):
+    model = m.fit_final(m.ModelSpec("forest", "forest", True, {**FOREST, "max_depth": depth}), planted, "subscribed", key="id")
+    # Categories and numbers that were not seen, and nulls.
+    odd = planted.withColumn("job", F.when(F.col("id") % 3 == 0, F.lit("never seen")).otherwise(F.col("job"))).withColumn(
+        "age", F.when(F.col("id") % 5 != 0, F.col("age") * 3 - 50))
+    trees = m.StoredTrees.of(model.stages[-1])
+    assert len(trees.trees) == 10 and {kind for _, kind, _ in trees.slots} == {0, 1, 2}
+    by_row, by_tree = (sorted(tuple(r) for r in x.select("id", "score").collect()) for x in (m.score(model, odd), m.scorer(model)(odd)))
+    assert by_row == by_tree
+
+
+def test_importance_scores_in_partitions_for_all_cores(spark, planted, monkeypatch):
+    model = m.fit_final(m.ModelSpec("forest", "forest", True, FOREST), planted, "subscribed", key="id")
+    seen, precision = [], m.average_precision
+
+    def record(df, by=()):
+        seen.append(df)
+        return precision(df, by)
+
+    monkeypatch.setattr(m, "average_precision", record)
+    m.permutation_importance(model, planted, "id", "subscribed", repeats=2).collect()
+    assert seen[1].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    plan = seen[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "score(" in plan and "probability" not in plan
